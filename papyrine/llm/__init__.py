@@ -1,5 +1,5 @@
 """Operators for language-model training data. Nothing outside this subpackage imports it."""
 
-from papyrine.llm import leakage, tokens
+from papyrine.llm import language, leakage, neighbours, tokens
 
-MODULES = [leakage, tokens]
+MODULES = [language, leakage, neighbours, tokens]
