@@ -1,5 +1,5 @@
 """Operators for language-model training data. Nothing outside this subpackage imports it."""
 
-from papyrine.llm import abuse, language, leakage, neighbours, tokens
+from papyrine.llm import abuse, language, leakage, neighbours, subjects, tokens
 
-MODULES = [abuse, language, leakage, neighbours, tokens]
+MODULES = [abuse, language, leakage, neighbours, subjects, tokens]
