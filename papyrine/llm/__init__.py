@@ -1,5 +1,5 @@
 """Operators for language-model training data. Nothing outside this subpackage imports it."""
 
-from papyrine.llm import abuse, language, leakage, names, neighbours, subjects, tokens
+from papyrine.llm import abuse, entities, language, leakage, names, neighbours, subjects, tokens
 
-MODULES = [abuse, language, leakage, names, neighbours, subjects, tokens]
+MODULES = [abuse, entities, language, leakage, names, neighbours, subjects, tokens]
