@@ -1,7 +1,7 @@
 """Every model as a query over the lake tables, and the DuckDB SQL that checks it.
 
 The SQL of a model is written on its own, with the models it reads as common table expressions. Both sides show doubles to
-six places, dates as text, arrays as text or as their length.
+six places (a billionth up, so that halves go the same way), dates as text, arrays as text or as their length.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ CUT = frozenset({"mart_collaboration", "mart_article", "mart_collaboration_by_ar
 
 def shown(df: DataFrame) -> DataFrame:
     """Columns in a form that both engines print alike."""
-    forms = {"double": lambda c: F.round(c, 6), "date": lambda c: F.col(c).cast("string"), "int": lambda c: F.col(c).cast("bigint"), "array<string>": lambda c: F.array_join(c, "|"), "array<double>": lambda c: F.size(c).cast("bigint")}
+    forms = {"double": lambda c: F.round(F.col(c) + 1e-9, 6), "date": lambda c: F.col(c).cast("string"), "int": lambda c: F.col(c).cast("bigint"), "array<string>": lambda c: F.array_join(c, "|"), "array<double>": lambda c: F.size(c).cast("bigint")}
     return df.select(*((forms[kind](c) if kind in forms else F.col(c)).alias(c) for c, kind in df.dtypes))
 
 
@@ -170,7 +170,7 @@ def _sql(name: str) -> str:
 
     visit(name)
     body = f"WITH {', '.join(f'{n} AS MATERIALIZED ({SQL[n][1]})' for n in order)} " if order else ""
-    replaced = [f"CAST({c} AS VARCHAR) AS {c}" for c in sorted(_DATES) if _gives(name, c)] + [f"round({c}, 6) AS {c}" for c in sorted(_DOUBLES) if _gives(name, c)]
+    replaced = [f"CAST({c} AS VARCHAR) AS {c}" for c in sorted(_DATES) if _gives(name, c)] + [f"round({c} + 1e-9, 6) AS {c}" for c in sorted(_DOUBLES) if _gives(name, c)]
     replaced += [f"CAST({c} AS VARCHAR) AS {c}" for c in _THREE_VALUED.get(name, ())] + [f"CAST({c} AS BIGINT) AS {c}" for c in _INTEGERS.get(name, ())]
     return body + f"SELECT *{' REPLACE (' + ', '.join(replaced) + ')' if replaced else ''} FROM {name}"
 
