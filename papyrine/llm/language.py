@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from papyrine.llm.features import Ftrl, Sparse, char_ngrams, plain, sentences, softmax
@@ -148,17 +148,12 @@ def fit(texts: DataFrame, labels: DataFrame) -> Model:
     """A model from (id, text) and (id, label); labels may be missing, wrong or double, in any style.
 
     All texts count for the document frequencies. The labelled sample is at most SAMPLE_TEXTS rows, with the least hashes
-    of (id, label): of each language an equal share, and what smaller languages leave free goes to the others.
+    of their id: of each language an equal share at most.
     """
     frequencies = document_frequencies(texts)
     coded = labels.select("id", language_code(F.col("label")).alias("code")).where("code is not null and id is not null").distinct()
-    parts = []
-    for code in LANGUAGES:
-        parts.append(coded.where(F.col("code") == code).join(texts, "id").orderBy(F.xxhash64("id"), "id", "text").limit(SAMPLE_TEXTS // len(LANGUAGES)).select("text", "code"))
-    sample = parts[0]
-    for part in parts[1:]:
-        sample = sample.unionByName(part)
-    rows = sample.toPandas()
+    share = Window.partitionBy("code").orderBy(F.xxhash64("id"), "id", "text")
+    rows = coded.join(texts, "id").withColumn("n", F.row_number().over(share)).where(F.col("n") <= SAMPLE_TEXTS // len(LANGUAGES)).select("text", "code").toPandas()
     documents = int(texts.count())
     order = np.random.default_rng(3).permutation(len(rows))
     return train([rows["text"].iloc[i] for i in order], [rows["code"].iloc[i] for i in order], frequencies, documents)
@@ -219,8 +214,6 @@ def found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences in a row of one language, as (article_id, passage_no, first_sentence, last_sentence, language_code,
     confidence). Sentences too short or uncertain to tell belong to the passage before them."""
-    from pyspark.sql import Window
-
     rows, _ = classified(spark, sf_dir)
     by = Window.partitionBy("id").orderBy("sentence_no", "language_code")
     sure = F.when((F.col("words") >= LEAST_WORDS) & (F.col("confidence") >= CONFIDENCE), F.col("language_code"))
