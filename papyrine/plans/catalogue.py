@@ -34,7 +34,7 @@ def register(sql: str | None = None):
 
 
 def collaborations(spark: SparkSession, d: str) -> DataFrame:
-    supplier = read_table(spark, d, "supplier").join(F.broadcast(read_table(spark, d, "nation")), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("author_id"), F.col("n_name").alias("institution_id"))
+    supplier = read_table(spark, d, "supplier").join(read_table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("author_id"), F.col("n_name").alias("institution_id"))
     lines = read_table(spark, d, "lineitem").select(F.col("l_orderkey").alias("article_id"), F.col("l_suppkey").alias("author_id"), F.col("l_linenumber").alias("author_sequence"))
     orders = read_table(spark, d, "orders").select(F.col("o_orderkey").alias("article_id"), F.col("o_orderdate").cast("date").alias("dt"))
     return lines.join(supplier, "author_id").join(orders, "article_id")

@@ -107,7 +107,7 @@ def _keyword_trend(ctx: Context) -> DataFrame:
 
 def _seeds(ctx: Context) -> DataFrame:
     """crossref_top_n_research_area_publication: publications without their wrapper, with an area of the list of areas."""
-    areas = ctx.table("cerif_research_area").agg(F.array_sort(F.collect_set("research_area_code")).alias("areas"))  # the list of areas is small by nature
+    areas = ctx.table("cerif_research_area").agg(F.array_sort(F.collect_set("research_area_code")).alias("areas"))  # one row
     rows = ctx.table("crossref_publication").select("publication_doi", readable(F.col("publication_metadata")).alias("doc")).where("doc is not null")
     number = F.pmod(F.crc32("publication_doi"), F.size("areas")).cast("int")
     return rows.crossJoin(F.broadcast(areas)).select(F.get("areas", number).alias("cerif_research_area_code"), "publication_doi", wrapped(F.col("doc"), "message").alias("publication_metadata"))
@@ -216,7 +216,7 @@ def stg_elsevier_article(ctx: Context) -> DataFrame:
 @model("staging", "dim_institution")
 def stg_elsevier_affiliation(ctx: Context) -> DataFrame:
     rows = ctx.table("elsevier_publication_affiliation").select(F.regexp_replace("publication_id", "SCOPUS_ID:", "").alias("article_id"), F.col("publication_eid").alias("article_eid"), F.col("publication_doi").alias("article_doi"), "publication_affiliation_id", "publication_affiliations")
-    dim = F.broadcast(ctx.ref("dim_institution").select("institution_id", "scopus_affiliation_id"))  # a registry of institutions
+    dim = ctx.ref("dim_institution").select("institution_id", "scopus_affiliation_id")
     named = rows.join(dim, rows["publication_affiliation_id"] == dim["scopus_affiliation_id"], "left").select("article_id", "article_eid", "article_doi", "institution_id")
     each = rows.select("article_id", F.explode(json_items(F.col("publication_affiliations"))).alias("a"))
     other = each.select("article_id", ctx.institution(F.concat_ws("_", *(json_text(F.col("a"), f"affiliation_{x}") for x in ("name", "city", "country")))).alias("institution_id")).distinct()

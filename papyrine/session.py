@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings every result of this package assumes; a caller's own session should have them too.
 SETTINGS = {
@@ -40,3 +42,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
         folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="papyrine-checkpoint-"))
     return df.checkpoint(eager=True)
+
+
+def bounded_sample(df: DataFrame, key: str, most: int, total: int) -> DataFrame:
+    """At most `most` of df's rows (about `total`), the same ones in every run, for the driver to read. A filter on the key's
+    hash first leaves about twice as many, so no task sends more than its share."""
+    share = math.ceil(1_000_003 * 2 * most / max(1, total))
+    hashed = F.pmod(F.xxhash64(key, F.lit(17)), F.lit(1_000_003))
+    return df.where(hashed < share).orderBy(hashed, key, *(c for c in df.columns if c != key and dict(df.dtypes)[c] == "string")).limit(most)
