@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from papyrine.llm.features import Ftrl, Sparse, char_ngrams, plain, sentences, word_ngrams
-from papyrine.session import read_table
+from papyrine.session import bounded_sample, read_table
 
 BITS = 18
 #: The most labelled documents the model is trained on (those with the least hashes of their id).
@@ -139,7 +139,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """From documents (id, text) and labels (id, label 0 or 1, perhaps null, double or contradictory: the mean decides, and
     a draw counts for nothing). At most SAMPLE_DOCUMENTS documents are used."""
     agreed = labels.where("id is not null and label is not null").groupBy("id").agg(F.avg("label").alias("m")).where("m <> 0.5").select("id", (F.col("m") > 0.5).cast("int").alias("label"))
-    rows = docs.where("text is not null").join(agreed, "id").orderBy(F.xxhash64("id"), "id", "text").limit(SAMPLE_DOCUMENTS).toPandas()
+    chosen = bounded_sample(agreed, "id", SAMPLE_DOCUMENTS, agreed.count())
+    rows = docs.where("text is not null").join(chosen, "id").orderBy(F.xxhash64("id"), "id", "text").limit(SAMPLE_DOCUMENTS).toPandas()
     return train(rows["text"].tolist(), rows["label"].tolist())
 
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from papyrine.session import checkpointed, read_table
+from papyrine.session import bounded_sample, checkpointed, read_table
 
 #: Vectors a shard is made for, rows on which the centres are fitted, and the most cells there are.
 SHARD_ROWS, SAMPLE_ROWS, MOST_CELLS = 4000, 20_000, 2048
@@ -168,7 +168,7 @@ def nearest(df: DataFrame, key: str, vector: str, size: int, k: int = 5, factor:
     if total < 2:
         return empty
     number = max(1, min(MOST_CELLS, round(total / SHARD_ROWS)))
-    sample = heads.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).select("vec").toPandas()["vec"]
+    sample = bounded_sample(heads.select("id", "vec"), "id", SAMPLE_ROWS, total).select("vec").toPandas()["vec"]
     data = _matrix(sample)
     centres = fit_centres(data, min(number, len(data)))
     shared = spark.sparkContext.broadcast(centres)
