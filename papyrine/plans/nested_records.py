@@ -81,9 +81,26 @@ def _children_sql(parent: str, value: str) -> str:
     return f"SELECT parent_key, unnest({_list_sql(value)}) AS item, generate_subscripts({_list_sql(value)}, 1) AS no FROM {parent}"
 
 
+def _table_sql(name: str) -> str:
+    """The SQL of table(name)."""
+    source, path, depth, values = RELATIONS[name]
+    table_name, key, document, unwrap = SOURCES[source]
+    base = _latest_sql(table_name, key, document)
+    if unwrap:
+        base = f"SELECT parent_key, CASE WHEN json_type(doc -> '$.{unwrap}') IS NULL OR json_type(doc -> '$.{unwrap}') = 'NULL' THEN doc ELSE doc -> '$.{unwrap}' END AS doc FROM ({base})"
+    steps = [step.removesuffix(".") for step in path.split("[]")][:depth]
+    first = f"(doc -> '$.{steps[0]}')" if steps[0] else "doc"
+    rows = f"SELECT parent_key, no AS child_no, 0 AS grandchild_no, item FROM (SELECT parent_key, unnest(l) AS item, generate_subscripts(l, 1) AS no FROM (SELECT parent_key, {_list_sql(first)} AS l FROM ({base})))"
+    if depth == 2:
+        rows = f"SELECT parent_key, child_no, no AS grandchild_no, item FROM (SELECT parent_key, child_no, unnest(l) AS item, generate_subscripts(l, 1) AS no FROM (SELECT parent_key, child_no, {_list_sql(chr(40) + 'item -> ' + chr(39) + '$' + steps[1] + chr(39) + chr(41))} AS l FROM ({rows})))"
+    shown = ", ".join(f"item ->> '$.\"{leaf.rpartition('[].')[2]}\"' AS {column}" for column, leaf in values.items())
+    return f"SELECT parent_key, child_no::INTEGER AS child_no, grandchild_no::INTEGER AS grandchild_no, {shown} FROM ({rows}) WHERE json_type(item) IS NOT NULL AND json_type(item) <> 'NULL'"
+
+
 def oracle_sql() -> dict[str, str]:
+    tables = {f"p6_{name}": _table_sql(name) for name in RELATIONS}
     live = "json_type(item) IS NOT NULL AND json_type(item) <> 'NULL'"
-    return {
+    return tables | {
         "p6_found": f"""WITH c0 AS ({_latest_sql("crossref_publication", "publication_doi", "publication_metadata")}),
     c AS (SELECT parent_key, CASE WHEN json_type(doc -> '$.message') IS NULL OR json_type(doc -> '$.message') = 'NULL' THEN doc ELSE doc -> '$.message' END AS doc FROM c0),
     p AS ({_latest_sql("orcid_member_person", "member_id", "member_person")}),
