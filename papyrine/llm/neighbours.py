@@ -256,5 +256,12 @@ def queries() -> dict:
     return {"p3_found": found, "p3_top5": top5}
 
 
+def _exact_sql(table: str, key: str, vector: str) -> str:
+    """The five most similar keys of each key by comparing all with all."""
+    clean = f"SELECT {key} AS id, max({vector})::DOUBLE[] AS v FROM {table} WHERE {key} IS NOT NULL AND len({vector}) = 64 AND NOT list_bool_or(list_transform({vector}, lambda x: x IS NULL OR isnan(x) OR isinf(x))) AND list_bool_or(list_transform({vector}, lambda x: x <> 0)) GROUP BY 1"
+    return f"SELECT '{table}' AS vector_table, id, other FROM (SELECT a.id, b.id AS other, row_number() OVER (PARTITION BY a.id ORDER BY list_cosine_similarity(a.v, b.v) DESC, b.id) AS n FROM ({clean}) a JOIN ({clean}) b ON a.id <> b.id) WHERE n <= 5"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    both = " UNION ALL ".join(_exact_sql(t, *columns) for t, columns in TABLES.items())
+    return {"p3_found": f"SELECT DISTINCT vector_table, least(id, other) AS id_a, greatest(id, other) AS id_b FROM ({both})"}
