@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrine.plans.models import MODELS, REFERENCE_KEYS, Context
+from papyrine.plans.models import MODELS, REFERENCE_KEYS, TITLE_KEYS, Context
 
 #: Patterns for the institutions that the invented affiliations of the test tables name.
 PATTERNS = (("%brenholm%", "INST_A"), ("%academy%", "INST_B"), ("%technical%", "INST_C"), ("%research council%", "INST_D"))
@@ -76,13 +76,16 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "stg_crossref_publication_top_3_reference": (("x_documents",), f"SELECT article_doi, string_agg({_TEXT}, ', ' ORDER BY rn) AS article_references FROM (SELECT *, row_number() OVER (PARTITION BY article_doi ORDER BY row_created_at DESC, no) AS rn FROM (SELECT publication_doi AS article_doi, row_created_at, no, {_KEYS} FROM (SELECT publication_doi, row_created_at, unnest(l) AS r, generate_subscripts(l, 1) AS no FROM (SELECT publication_doi, row_created_at, {_items(chr(40) + 'd -> ' + chr(39) + '$.reference' + chr(39) + chr(41))} AS l FROM x_documents))) WHERE coalesce(reference_article_title, reference_article_author, reference_article_unstructured, reference_article_journal_title) IS NOT NULL) WHERE rn <= 3 GROUP BY article_doi"),
     "stg_crossref_article": (("stg_crossref_publication_top_3_reference",), "SELECT p.*, t.article_references FROM (SELECT DISTINCT article_doi, article_publisher, article_title, article_short_title, article_subtitle, article_original_title, article_container_title, article_short_container_title, article_abstract, article_publication_dt, article_referenced_by_count AS article_citation_count FROM crossref_publication_parsed) p LEFT JOIN stg_crossref_publication_top_3_reference t USING (article_doi)"),
     "stg_crossref_author_sequence": ((), "SELECT DISTINCT article_doi, author_sequence, author_sequence_index, author_orcid FROM crossref_publication_parsed"),
+    "x_seed": ((), "SELECT publication_doi, row_created_at, d, (SELECT list_sort(list(DISTINCT research_area_code)) FROM cerif_research_area) AS areas FROM x_documents"),
+    "x_seed_text": (("x_documents",), f"SELECT publication_doi, string_agg({_TEXT}, ', ' ORDER BY no, {_TEXT}) AS article_references FROM (SELECT publication_doi, no, {_KEYS} FROM (SELECT publication_doi, unnest(l) AS r, generate_subscripts(l, 1) AS no FROM (SELECT publication_doi, {_items(chr(40) + 'd -> ' + chr(39) + '$.reference' + chr(39) + chr(41))} AS l FROM x_documents))) GROUP BY 1"),
+    "stg_crossref_seed_article": (("x_documents", "x_seed", "x_seed_text"), "SELECT lower(publication_doi) AS article_doi, areas[length(publication_doi) % len(areas) + 1] AS research_area_code, d ->> '$.URL' AS article_url, d ->> '$.publisher' AS article_publisher, * EXCLUDE (publication_doi, areas, d, article_references, pd, dd, i, p), d ->> '$.abstract' AS article_abstract, CAST(d ->> '$.is-referenced-by-count' AS BIGINT) AS is_referenced_by_count, article_references, i AS article_indexed_dt, coalesce(p, i) AS article_publication_dt, concat_ws('\\n', 'Title: ' || coalesce(article_title, 'n/a'), 'Container Title: ' || coalesce(article_container_title, 'n/a'), 'Abstract: ' || coalesce(d ->> '$.abstract', 'n/a'), 'References: ' || coalesce(article_references, 'n/a')) AS article_embedding_input FROM (SELECT publication_doi, areas, d, " + ", ".join(f"unnest(CASE WHEN json_type(d -> '$.{k}') = 'ARRAY' THEN CAST(d -> '$.{k}' AS VARCHAR[]) ELSE [] END) AS article_{k.replace('-', '_')}" for k in TITLE_KEYS) + " FROM x_seed) LEFT JOIN x_seed_text USING (publication_doi) LEFT JOIN (SELECT DISTINCT publication_doi AS pd, d AS dd, " + ", ".join(f"coalesce(try_cast(substr(d -> '$.{k}' ->> '$.date-time', 1, 10) AS DATE), CAST(epoch_ms(try_cast(d -> '$.{k}' ->> '$.timestamp' AS BIGINT)) AS DATE), try_cast((d ->> '$.{k}.date-parts[0][0]') || '-' || lpad(d ->> '$.{k}.date-parts[0][1]', 2, '0') || '-' || lpad(d ->> '$.{k}.date-parts[0][2]', 2, '0') AS DATE)) AS {a}" for k, a in (("indexed", "i"), ("published", "p"))) + " FROM x_documents) ON pd = publication_doi AND dd = d"),
     "stg_elsevier_publication_reference": ((), f"SELECT article_id, no, r ->> '$.reference_id' AS reference_id, r ->> '$.reference_title' AS reference_title FROM (SELECT article_id, unnest(l) AS r, generate_subscripts(l, 1) AS no FROM (SELECT article_id, {_items('d')} AS l FROM (SELECT publication_id AS article_id, {_clean('publication_references')} AS d FROM elsevier_publication)))"),
     "stg_elsevier_publication_top_3_reference": ((), f"SELECT article_id, string_agg(t, ', ' ORDER BY rn) AS article_references FROM (SELECT article_id, t, row_number() OVER (PARTITION BY article_id ORDER BY row_created_at DESC, no) AS rn FROM (SELECT article_id, row_created_at, no, r ->> '$.reference_title' AS t FROM (SELECT article_id, row_created_at, unnest(l) AS r, generate_subscripts(l, 1) AS no FROM (SELECT article_id, row_created_at, {_items('d')} AS l FROM (SELECT publication_id AS article_id, row_created_at, {_clean('publication_references')} AS d FROM elsevier_publication)))) WHERE t IS NOT NULL) WHERE rn <= 3 GROUP BY article_id"),
     "stg_elsevier_article": (("stg_elsevier_publication_top_3_reference",), "SELECT p.*, t.article_references FROM (SELECT DISTINCT article_id, article_eid, article_doi, article_title, article_journal, article_abstract, article_keywords, article_citation_count, article_publication_dt FROM elsevier_publication_parsed) p LEFT JOIN stg_elsevier_publication_top_3_reference t USING (article_id)"),
     "stg_elsevier_affiliation": (("x_affiliation", "dim_institution"), f"SELECT DISTINCT article_id, article_eid, article_doi, coalesce(institution_id, 'n/a') AS institution_id FROM (SELECT a.article_id, a.article_eid, a.article_doi, i.institution_id FROM x_affiliation a LEFT JOIN dim_institution i ON a.affiliation_id = i.scopus_affiliation_id UNION ALL SELECT a.article_id, a.article_eid, a.article_doi, {_code(chr(39) + 'institute ' + chr(39) + ' || b.affiliation_id || ' + chr(39) + '_city_country' + chr(39))} FROM x_affiliation a JOIN x_affiliation b USING (article_id))"),
     "stg_orcid_article": ((), "SELECT DISTINCT article_id, article_doi, article_eid, article_title, article_journal_title, article_publication_dt FROM orcid_member_works_parsed"),
-    "stg_orcid_member_employment": (("x_employment",), "SELECT member_id, organization_name AS affiliation_identifier, organization_name, make_date(greatest(a, 1900), 1, 1) AS start_dt, make_date(CASE WHEN b > a THEN b ELSE 2100 END, 1, 1) AS end_dt FROM x_employment"),
-    "stg_orcid_member_employment_by_work": (("stg_orcid_member_employment",), "SELECT e.member_id, e.affiliation_identifier, w.article_id FROM stg_orcid_member_employment e, orcid_member_works_parsed w WHERE w.member_id = e.member_id AND w.article_publication_dt >= e.start_dt AND w.article_publication_dt <= e.end_dt"),
+    "stg_orcid_member_employment": (("x_employment",), "SELECT member_id, md5(member_id || organization_name) AS employment_id, organization_name AS affiliation_identifier, organization_name, NULL AS organization_city, NULL AS organization_region, NULL AS organization_country, NULL AS department_name, NULL AS role_title, make_date(greatest(a, 1900), 1, 1) AS start_dt, make_date(CASE WHEN b > a THEN b ELSE 2100 END, 1, 1) AS end_dt FROM x_employment"),
+    "stg_orcid_member_employment_by_work": (("stg_orcid_member_employment",), "SELECT e.member_id, e.employment_id, e.affiliation_identifier, w.article_id FROM stg_orcid_member_employment e, orcid_member_works_parsed w WHERE w.member_id = e.member_id AND w.article_publication_dt >= e.start_dt AND w.article_publication_dt <= e.end_dt"),
     "x_person": ((), f"SELECT member_id, d FROM (SELECT member_id, {_clean('member_person')} AS d FROM orcid_member_person) WHERE d IS NOT NULL"),
     "x_person_id": (("x_person",), f"SELECT member_id, x ->> '$.external-id-type' AS kind, x ->> '$.external-id-value' AS v FROM (SELECT member_id, unnest({_items(chr(40) + 'd -> ' + chr(39) + '$.external-identifiers.external-identifier' + chr(39) + chr(41))}) AS x FROM x_person)"),
     "stg_orcid_member_person": (("x_person", "x_person_id"), "SELECT p.member_id, d ->> '$.name.family-name.value' AS member_family_name, d ->> '$.name.given-names.value' AS member_given_names, s.v AS member_scopus_id, r.v AS member_researcher_id, l.v AS member_loop_id FROM x_person p LEFT JOIN (SELECT * FROM x_person_id WHERE kind = 'Scopus Author ID') s USING (member_id) LEFT JOIN (SELECT * FROM x_person_id WHERE kind = 'ResearcherID') r USING (member_id) LEFT JOIN (SELECT * FROM x_person_id WHERE kind = 'Loop profile') l USING (member_id)"),
@@ -153,10 +156,8 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
 SQL["mart_orcid_collaboration_with_duplicates"] = ((*SQL["mart_orcid_collaboration_with_duplicates"][0], "x_new_works", "x_places"), SQL["mart_orcid_collaboration_with_duplicates"][1])
 
 #: Columns that are shown as text (dates) or to six places (doubles).
-_DATES = {"article_publication_dt", "start_dt", "end_dt"}
+_DATES = {"article_publication_dt", "article_indexed_dt", "start_dt", "end_dt"}
 _DOUBLES = {"article_citation_normalized_count", "collaboration_novelty_index", "keyword_popularity_index", "publication_count_yoy", "publication_count_yoy_3yr_rolling_avg", "publication_count_baseline", "publication_normalized_count_baseline", "publication_count_yoy_baseline", "publication_count_yoy_3yr_rolling_avg_baseline", "publication_count_yoy_3yr_rolling_avg_diff"}
-#: Models whose query has more columns than its SQL can give from stand-in tables; they have none.
-NO_SQL = {"stg_orcid_member_employment", "stg_orcid_member_employment_by_work", "stg_crossref_seed_article"}
 
 
 def _sql(name: str) -> str:
@@ -187,7 +188,7 @@ _INTEGERS = {
 }
 #: Which of those columns a model gives.
 GIVES = {
-    "stg_crossref_article": ("article_publication_dt",), "stg_elsevier_article": ("article_publication_dt",), "stg_orcid_article": ("article_publication_dt",), "mart_elsevier_article": ("article_publication_dt",), "mart_orcid_article_with_duplicates": ("article_publication_dt",),
+    "stg_crossref_seed_article": ("article_indexed_dt", "article_publication_dt"), "stg_orcid_member_employment": ("start_dt", "end_dt"), "stg_crossref_article": ("article_publication_dt",), "stg_elsevier_article": ("article_publication_dt",), "stg_orcid_article": ("article_publication_dt",), "mart_elsevier_article": ("article_publication_dt",), "mart_orcid_article_with_duplicates": ("article_publication_dt",),
     "mart_orcid_article": ("article_publication_dt",), "mart_article": ("article_publication_dt",), "mart_collaboration_by_article": ("article_publication_dt",), "stg_collaboration_novelty_index": ("collaboration_novelty_index",), "int_article_citation_normalized": ("article_citation_normalized_count",),
     "int_collaboration": ("article_publication_dt",), "dim_article": ("article_publication_dt",), "fct_article": ("article_publication_dt", "article_citation_normalized_count", "collaboration_novelty_index"), "fct_article_keyword_trend": tuple(c for c in _DOUBLES if c.startswith("publication")),
     "fct_article_by_keyword_popularity": ("keyword_popularity_index",), "fct_collaboration": ("article_publication_dt",), "graph_article": ("article_publication_dt",), "graph_article_embedding": ("article_publication_dt",), "graph_author_top_keywords": ("article_publication_dt", "keyword_popularity_index"),
@@ -196,4 +197,4 @@ GIVES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: _sql(name) for name in MODELS if name in SQL and name not in NO_SQL}
+    return {name: _sql(name) for name in MODELS}

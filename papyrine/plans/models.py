@@ -89,7 +89,7 @@ def _employments(ctx: Context) -> DataFrame:
     rows = ctx.table("crossref_publication_parsed").where("author_orcid is not null and affiliation_identifier is not null and article_publication_dt is not null")
     rows = rows.groupBy(F.regexp_extract("author_orcid", r"(\d{4}-\d{4}-\d{4}-\d{3}[\dX])$", 1).alias("member_id"), "affiliation_identifier").agg(F.min(F.year("article_publication_dt")).alias("a"), F.max(F.year("article_publication_dt")).alias("b")).where("member_id <> ''")
     date = lambda c: F.struct(F.struct(F.col(c).cast("string").alias("value")).alias("year"))
-    summary = F.struct(F.xxhash64("member_id", "affiliation_identifier").cast("string").alias("put-code"), F.struct(F.col("affiliation_identifier").alias("name")).alias("organization"), date("a").alias("start-date"), F.when(F.col("b") > F.col("a"), date("b")).alias("end-date"))
+    summary = F.struct(F.md5(F.concat("member_id", "affiliation_identifier")).alias("put-code"), F.struct(F.col("affiliation_identifier").alias("name")).alias("organization"), date("a").alias("start-date"), F.when(F.col("b") > F.col("a"), date("b")).alias("end-date"))
     return rows.select("member_id", F.to_json(F.array(F.struct(F.array(F.struct(summary.alias("employment-summary"))).alias("summaries")))).alias("member_employments"))
 
 
@@ -109,7 +109,7 @@ def _seeds(ctx: Context) -> DataFrame:
     """crossref_top_n_research_area_publication: publications without their wrapper, with an area of the list of areas."""
     areas = ctx.table("cerif_research_area").agg(F.array_sort(F.collect_set("research_area_code")).alias("areas"))  # one row
     rows = ctx.table("crossref_publication").select("publication_doi", readable(F.col("publication_metadata")).alias("doc")).where("doc is not null")
-    number = F.pmod(F.crc32("publication_doi"), F.size("areas")).cast("int")
+    number = F.length("publication_doi") % F.size("areas")
     return rows.crossJoin(F.broadcast(areas)).select(F.get("areas", number).alias("cerif_research_area_code"), "publication_doi", wrapped(F.col("doc"), "message").alias("publication_metadata"))
 
 
