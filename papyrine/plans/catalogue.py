@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from papyrine.functions.scalars import array_text, clamped_date, cosine, institution_code, json_date, keyword_list, mean_pool, snake_case, strip_quotes, truncated_quotient, unit
-from papyrine.operators.enrich import batches_of, frequent_word_language, hashed_vectors, joined_text, nearest_labels, next_batch, top_terms
+from papyrine.operators.enrich import FREQUENT_WORDS, batches_of, frequent_word_language, hashed_vectors, joined_text, nearest_labels, next_batch, top_terms
 from papyrine.operators.novelty import novelty
 from papyrine.operators.parse import latest, parse_crossref, parse_publications, primary_ids
 from papyrine.plans.model_queries import PATTERNS, _clean, _items
@@ -279,14 +279,17 @@ def hourly_windows(spark: SparkSession, d: str) -> DataFrame:
     return windowed_counts(read_table(spark, d, "events"), "ts", "event_type").withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
-@register()
+_W = {code: "len(list_filter(w, lambda x: x IN (" + ", ".join(f"'{x}'" for x in sorted(set(own.split()))) + ")))" for code, own in FREQUENT_WORDS.items()}
+
+
+@register("SELECT doc_id, CASE WHEN greatest(" + ", ".join(f"n_{c}" for c in sorted(_W)) + ") = 0 THEN 'n/a' " + " ".join(f"WHEN n_{c} = greatest({', '.join(f'n_{x}' for x in sorted(_W))}) THEN '{c}'" for c in sorted(_W)) + " END AS language FROM (SELECT doc_id, " + ", ".join(f"{x} AS n_{c}" for c, x in _W.items()) + " FROM (SELECT doc_id, regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}]+') AS w FROM documents))")
 def language_by_frequent_words(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "documents").select("doc_id", frequent_word_language(F.col("text")).alias("language"))
 
 
-@register()
+@register("WITH t AS (SELECT doc_id, w, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{L}{5,}')) AS w FROM documents) GROUP BY 1, 2), f AS (SELECT w, count(*) AS df FROM t GROUP BY 1), r AS (SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id ORDER BY tf * ln((SELECT count(DISTINCT doc_id) FROM documents)::DOUBLE / df) DESC, w) AS r FROM t JOIN f USING (w)) SELECT d.doc_id, coalesce(string_agg(w, '|' ORDER BY r), '') AS keywords FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN (SELECT * FROM r WHERE r <= 5) USING (doc_id) GROUP BY 1")
 def top_terms_of_documents(spark: SparkSession, d: str) -> DataFrame:
-    return top_terms(read_table(spark, d, "documents"), "doc_id", "text")
+    return top_terms(read_table(spark, d, "documents"), "doc_id", "text").withColumn("keywords", F.array_join("keywords", "|"))
 
 
 @register()
