@@ -18,7 +18,8 @@ from papyrine.llm.names import form, similarity
 from papyrine.operators.shredding import shred
 from papyrine.session import checkpointed, read_table
 
-#: A key (DOI, EID or title) that more articles or more members than this hold names no work.
+#: A key (DOI, EID or title) that more articles than this hold tells less which of them is meant: each counts as so many of a
+#: work as this is of their number. Keys that more members than this hold are joined in parts.
 SHARED_KEY = 50
 #: Log odds: without agreement of names; where a name is missing; with agreement, and what a full agreement adds to a bare
 #: one; for each shared work up to MOST_WORKS; for sharing a greater part of the member's works.
@@ -55,11 +56,22 @@ def keyed(rows: DataFrame, owner: str, keys: dict[str, Column]) -> DataFrame:
     return rows.select(owner, each.alias("keys")).distinct().select(owner, F.explode(F.array_compact("keys")).alias("key")).distinct()
 
 
+def meet(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """left joined with right by key, whole: the rows of left that share a key beyond SHARED_KEY are spread over as many parts
+    by hash, each with a copy of right's rows of that key, so no task joins a frequent key alone."""
+    parts = left.groupBy(key).agg(F.ceil(F.count("*") / SHARED_KEY).cast("int").alias("_parts")).where("_parts > 1")
+    spread = F.coalesce("_parts", F.lit(1))
+    one = left.join(parts, key, "left").withColumn("_part", F.pmod(F.xxhash64(*left.columns), spread).cast("int")).drop("_parts")
+    other = right.join(parts, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), spread - 1))).drop("_parts")
+    return one.join(other, [key, "_part"]).drop("_part")
+
+
 def shared_works(works: DataFrame, articles: DataFrame) -> DataFrame:
-    """(member_id, article_id, n): works (member_id, key) met with articles (article_id, key) by telling keys."""
-    telling = articles.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") <= SHARED_KEY).select("key")
-    other = works.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") <= SHARED_KEY).select("key")
-    return works.join(other, "key").join(articles.join(telling, "key"), "key").select("member_id", "article_id").distinct()
+    """(member_id, article_id, weight): works (member_id, key) met with articles (article_id, key) by any key. The weight is 1,
+    or SHARED_KEY of the articles of the pair's most telling key if more hold that."""
+    crowd = articles.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > SHARED_KEY).select("key", (SHARED_KEY / F.col("n")).alias("weight"))
+    weighed = articles.join(crowd, "key", "left").withColumn("weight", F.coalesce("weight", F.lit(1.0)))
+    return meet(works, weighed, "key").groupBy("member_id", "article_id").agg(F.max("weight").alias("weight"))
 
 
 def with_prior(pairs: DataFrame) -> DataFrame:
@@ -147,9 +159,9 @@ def matches(works: DataFrame, persons: DataFrame, crossref: DataFrame, elsevier:
     slim = elsevier.where("article_id is not null and author_id is not null")
     articles = keyed(slim, "article_id", {"doi": doi_key(F.col("article_doi")), "eid": F.col("article_eid"), "title": title_key(F.col("article_title"))})
     met = checkpointed(shared_works(keys, articles))
-    totals = met.groupBy("member_id").agg(F.count("*").alias("total"))
+    totals = met.groupBy("member_id").agg(F.sum("weight").alias("total"))
     authors = slim.select("article_id", "author_id").distinct()
-    pairs = met.join(authors, "article_id").groupBy("member_id", "author_id").agg(F.count("*").alias("works"))
+    pairs = met.join(authors, "article_id").groupBy("member_id", "author_id").agg(F.sum("weight").alias("works"))
     pairs = pairs.join(totals, "member_id").select("member_id", "author_id", "works", (F.col("works") / F.col("total")).alias("share"))
     shredded = shred(persons, "member_id", "member_person", "row_created_at", {"given": "name.given-names.value", "family": "name.family-name.value"})
     named = shredded.select("member_id", F.concat_ws(" ", F.get("given_val", F.lit(0)), F.get("family_val", F.lit(0))).alias("name"))

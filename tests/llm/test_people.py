@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from papyrine.llm import names
-from papyrine.llm.entities import doi_key, matches, orcid_key, propagate, title_key
+from papyrine.llm.entities import SHARED_KEY, doi_key, matches, orcid_key, propagate, shared_works, title_key
 from papyrine.llm.names import cluster, form, join_shard, link, nickname, one_edit, similarity, spellings, weights
 
 
@@ -115,3 +115,11 @@ def test_matches(spark, rows):
         return
     got = {(r.member_id, r.author_id) for r in matches(works, persons, crossref, els).where("probability >= 0.5").collect()}
     assert got == {("m1", "a1"), ("m2", "a2")}
+
+
+def test_frequent_keys_name_works(spark):
+    many, more = SHARED_KEY + 10, 2 * SHARED_KEY
+    works = spark.createDataFrame([(f"m{i}", 1) for i in range(many)] + [("n", 2), ("n", 3)], "member_id string, key long")
+    articles = spark.createDataFrame([("a", 1), ("b", 1)] + [(f"c{i}", 2) for i in range(more)] + [("c0", 3)], "article_id string, key long")
+    got = {(r.member_id, r.article_id): r.weight for r in shared_works(works, articles).collect()}
+    assert got == {**{(f"m{i}", x): 1.0 for i in range(many) for x in "ab"}, **{("n", f"c{i}"): 0.5 for i in range(1, more)}, ("n", "c0"): 1.0}
