@@ -1,6 +1,6 @@
 """The same researchers in sources without a common key (problem 5), matched by loopy belief propagation.
 
-Candidate pairs of a member and an author share at least one work (by DOI, by EID or by title). Each pair is a variable
+Candidate pairs of a member and an author share at least one work (by DOI, by EID or by title, also with a typing error). Each pair is a variable
 whose prior odds come from the agreement of the names and the number of shared works. Two kinds of factors tie the pairs:
 an author belongs to at most one member, and a member seldom has more than one author id. Messages go back and forth
 through joins until the beliefs settle; the result is every pair's marginal probability.
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +57,49 @@ def keyed(rows: DataFrame, owner: str, keys: dict[str, Column]) -> DataFrame:
     return rows.select(owner, each.alias("keys")).distinct().select(owner, F.explode(F.array_compact("keys")).alias("key")).distinct()
 
 
+def without_a_letter(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(place in texts, hash) of each text as it is and with each one of its letters left out."""
+    sizes = np.array([len(x) for x in texts], np.int64)
+    letters = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    starts = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    powers = np.ones(int(sizes.max(initial=0)) + 1, np.uint64)
+    np.multiply.accumulate(np.full(len(powers) - 1, _BASE, np.uint64), out=powers[1:])
+    # a text's hash is a polynomial modulo 2 ** 64; letters behind the one left out move by one power
+    terms = (letters + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) * powers[np.arange(len(letters)) - starts[owner]]
+    upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
+    before = upto[:-1] - upto[starts[owner]]
+    behind = upto[(starts + sizes)[owner]] - upto[1:]
+    hashes = np.concatenate([upto[starts + sizes] - upto[starts], before + behind * np.uint64(pow(_BASE, -1, 1 << 64))])
+    return np.concatenate([np.arange(len(texts)), owner]), (hashes ^ hashes >> np.uint64(29)).view(np.int64)
+
+
+_BASE = 0xD6E8FEB86659FD93
+
+
+def titles_of(rows: DataFrame) -> DataFrame:
+    """(key, text): every title's key as in keyed, with its letters and digits."""
+    texts = rows.select(title_key(F.col("article_title")).alias("text")).where("text is not null").distinct()
+    return texts.select(F.xxhash64(F.lit("title"), "text").alias("key"), "text")
+
+
+def near_titles(mine: DataFrame, theirs: DataFrame) -> DataFrame:
+    """(key, near): keys of different titles (key, text) of both sides that are equal after a letter is left out of one or of
+    each, so all pairs with one letter changed, added or left out. Titles with different numbers name different works."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            place, hashes = without_a_letter(batch["text"].tolist())
+            yield pd.DataFrame({"own": batch["key"].to_numpy()[place], "h": hashes})
+
+    left = mine.mapInPandas(run, "own long, h long").withColumnRenamed("own", "key")
+    right = theirs.mapInPandas(run, "own long, h long").withColumnRenamed("own", "near")
+    both = left.join(right, "h").where("key <> near").select("key", "near").distinct()
+    both = both.join(mine, "key").join(theirs.select(F.col("key").alias("near"), F.col("text").alias("other")), "near")
+    numbers = lambda text: F.regexp_replace(text, r"\P{N}+", " ")
+    return both.where((F.levenshtein("text", "other", 2) >= 0) & (numbers("text") == numbers("other"))).select("key", "near")
+
+
 def meet(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """left joined with right by key, whole: the rows of left that share a key beyond SHARED_KEY are spread over as many parts
     by hash, each with a copy of right's rows of that key, so no task joins a frequent key alone."""
@@ -158,6 +202,8 @@ def matches(works: DataFrame, persons: DataFrame, crossref: DataFrame, elsevier:
     keys = keys.unionByName(keyed(crossref.join(own_works.select("member_id").distinct(), "member_id", "left_semi"), "member_id", {"doi": doi_key(F.col("article_doi"))})).distinct()
     slim = elsevier.where("article_id is not null and author_id is not null")
     articles = keyed(slim, "article_id", {"doi": doi_key(F.col("article_doi")), "eid": F.col("article_eid"), "title": title_key(F.col("article_title"))})
+    near = near_titles(titles_of(own_works), titles_of(slim))
+    keys = keys.unionByName(keys.join(near, "key").select("member_id", F.col("near").alias("key"))).distinct()
     met = checkpointed(shared_works(keys, articles))
     totals = met.groupBy("member_id").agg(F.sum("weight").alias("total"))
     authors = slim.select("article_id", "author_id").distinct()

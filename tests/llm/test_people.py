@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from papyrine.llm import names
-from papyrine.llm.entities import SHARED_KEY, doi_key, matches, orcid_key, propagate, shared_works, title_key
+from papyrine.llm.entities import SHARED_KEY, doi_key, matches, near_titles, orcid_key, propagate, shared_works, title_key, titles_of
 from papyrine.llm.names import cluster, form, join_shard, link, nickname, one_edit, similarity, spellings, weights
 
 
@@ -123,3 +123,20 @@ def test_frequent_keys_name_works(spark):
     articles = spark.createDataFrame([("a", 1), ("b", 1)] + [(f"c{i}", 2) for i in range(more)] + [("c0", 3)], "article_id string, key long")
     got = {(r.member_id, r.article_id): r.weight for r in shared_works(works, articles).collect()}
     assert got == {**{(f"m{i}", x): 1.0 for i in range(many) for x in "ab"}, **{("n", f"c{i}"): 0.5 for i in range(1, more)}, ("n", "c0"): 1.0}
+
+
+def test_titles_with_a_typing_error(spark):
+    mine = ["Guide RNAs in rural districts", "Guide RNAs: part 2 of three", "Žuželke v gozdovih Slovenije", "short", None, "The same title"]
+    theirs = ["Guide RNAs in rual districts", "Guide RNAs in rurak districtss", "Guide RNAsxin rural districts", "Guide RNAs: part 3 of three", "Žuželkev gozdoviih Slovenije", "Guide RNA in rural distrct", "short", None, "The same title", "Rural districts in guide RNAs"]
+    sides = [titles_of(spark.createDataFrame([(x,) for x in own], "article_title string")) for own in (mine, theirs)]
+    names_of = [{r.key: r.text for r in side.collect()} for side in sides]
+    got = {(names_of[0][r.key], names_of[1][r.near]) for r in near_titles(*sides).collect()}
+    assert got == {("guidernasinruraldistricts", x) for x in ("guidernasinrualdistricts", "guidernasxinruraldistricts")} | {("žuželkevgozdovihslovenije", "žuželkevgozdoviihslovenije")}
+
+
+def test_a_work_with_a_misspelt_title_gives_a_match(spark):
+    works = spark.createDataFrame([("m1", None, None, "Towards irregular label noise")], "member_id string, article_doi string, article_eid string, article_title string")
+    persons = spark.createDataFrame([("m1", json.dumps({"name": {"given-names": {"value": "Astrid"}, "family-name": {"value": "Zorkmark"}}}), 1)], "member_id string, member_person string, row_created_at long")
+    crossref = spark.createDataFrame([], "article_doi string, author_orcid string, author_given_name string, author_family_name string")
+    els = spark.createDataFrame([("1", None, "e1", "Towards irregular label noie", "a1", "Zorkmark A.", None, None)], "article_id string, article_doi string, article_eid string, article_title string, author_id string, author_indexed_name string, author_first_name string, author_last_name string")
+    assert [(r.member_id, r.author_id) for r in matches(works, persons, crossref, els).where("probability >= 0.5").collect()] == [("m1", "a1")]
