@@ -140,3 +140,36 @@ def test_a_work_with_a_misspelt_title_gives_a_match(spark):
     crossref = spark.createDataFrame([], "article_doi string, author_orcid string, author_given_name string, author_family_name string")
     els = spark.createDataFrame([("1", None, "e1", "Towards irregular label noie", "a1", "Zorkmark A.", None, None)], "article_id string, article_doi string, article_eid string, article_title string, author_id string, author_indexed_name string, author_first_name string, author_last_name string")
     assert [(r.member_id, r.author_id) for r in matches(works, persons, crossref, els).where("probability >= 0.5").collect()] == [("m1", "a1")]
+
+
+def test_crowded_surnames_are_clustered(spark, monkeypatch):
+    monkeypatch.setattr(names, "RARITY", 0.0)  # so that the forms of a made-up crowd are candidates of each other
+    letters = "abcdefghijklmnopqrst"
+    crowd = [(f"Annabe{x}la Margari{y}ta", "Zorkmark") for x in letters for y in letters]  # 72,200 strong pairs of this surname
+    chain = [("Annika", "Zorkmark"), ("Anika Sofia", "Zorkmark"), ("Anniika Maria", "Zorkmark")]
+    given = "author_given_name string, author_family_name string"
+    none = spark.createDataFrame([], "author_indexed_name string")
+    want = {tuple(r) for r in link(spellings(spark.createDataFrame(chain, given), none))[1].select("a", "b").collect()}
+    pairs = link(spellings(spark.createDataFrame(crowd + chain, given), none))[1].collect()
+    own = {form(" ".join(x)) for x in chain}
+    assert len(pairs) > 50_000
+    assert {(r.a, r.b) for r in pairs if r.a in own and r.b in own} == want and len(want) == 1
+
+
+def test_clusters_against_plain_average_linkage():
+    rnd = np.random.default_rng(4)
+    for _ in range(30):
+        forms = sorted([f"given{i} zorkmark" for i in range(14)] + ["a zorkmark", "b zorkmark"])
+        pairs = [(a, b, float(rnd.uniform(0.5, 1))) for a, b in itertools.combinations(forms, 2) if rnd.random() < 0.6]
+        score = {frozenset(p[:2]): p[2] for p in pairs}
+        groups = {x: [x] for x in forms if x.startswith("given")}
+        while True:
+            average = lambda a, b, g=groups: sum(score.get(frozenset((x, y)), 0) for x in g[a] for y in g[b]) / len(g[a]) / len(g[b])
+            best = max(((average(a, b), a, b) for a, b in itertools.combinations(groups, 2)), key=lambda t: (round(t[0], 9), -forms.index(t[1]), -forms.index(t[2])), default=(0,))
+            if best[0] < names.LINKAGE - 1e-9:
+                break
+            groups[best[1]] += groups.pop(best[2])
+        of = {x: g for g in groups.values() for x in g}
+        for (a, b, _), holds in zip(pairs, cluster(pairs), strict=True):
+            if a in of and b in of:
+                assert holds == (of[a] is of[b])
