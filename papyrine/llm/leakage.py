@@ -230,25 +230,31 @@ def search_shard(phrases: Phrases, docs: list[list[int]]) -> list[tuple[int, int
     each = phrases.counts[which]
     entry = phrases.by_phrase[np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each) + np.repeat(phrases.offsets[which], each)]
     at, key, start = np.repeat(at, each), phrases.keys[entry], phrases.starts[entry]
-    # one seed for each item and diagonal, then only those with enough words of the item nearby, in any of a few shifts
-    _, pick = np.unique(np.stack([key, at - start]), axis=1, return_index=True)
+    # one seed for each item, diagonal and unbroken run, then only those with enough words of the item nearby, in any shift that
+    # the errors of a passage can make: with floor(n / 10) errors, some 18 words in sequence of n have at most 3
+    order = np.lexsort((start, at - start, key))
+    at, key, start = at[order], key[order], start[order]
+    goes_on = (key[1:] == key[:-1]) & (at[1:] == at[:-1] + 1) & (start[1:] == start[:-1] + 1)
+    pick = np.flatnonzero(np.concatenate([np.ones(min(1, len(at)), bool), ~goes_on]))
     at, key, start = at[pick], key[pick], start[pick]
     row = np.array([phrases.row[k] for k in key.tolist()], np.int64)
     keep = []
-    padded = np.concatenate([np.full(4, SEPARATOR, np.int32), text, np.full(4, SEPARATOR, np.int32)])
+    most = phrases.longest // WORDS_PER_ERROR
+    margin = np.full(most + 1, SEPARATOR, np.int32)
+    padded = np.concatenate([margin, text, margin])
     for part in np.array_split(np.arange(len(at)), max(1, len(at) // 20_000)):
         if not len(part):
             continue
         place = (at - start)[part, None] + np.arange(phrases.longest)
         own = phrases.table[row[part]]
         near = np.zeros(place.shape, bool)
-        for shift in range(-3, 4):
-            near |= padded[np.clip(place + shift + 4, 0, len(padded) - 1)] == own
+        for shift in range(-most, most + 1):
+            near |= padded[np.clip(place + shift + most + 1, 0, len(padded) - 1)] == own
         total = np.concatenate([np.zeros((len(part), 1), np.int32), np.cumsum(near, axis=1, dtype=np.int32)], axis=1)
         if phrases.longest < LEAST_WORDS:
-            enough = total[:, -1] >= LEAST_WORDS - 2
+            enough = total[:, -1] >= LEAST_WORDS - 3
         else:
-            enough = (total[:, LEAST_WORDS:] - total[:, :-LEAST_WORDS]).max(axis=1) >= LEAST_WORDS - 2
+            enough = (total[:, LEAST_WORDS:] - total[:, :-LEAST_WORDS]).max(axis=1) >= LEAST_WORDS - 3
         keep.append(part[enough])
     ends = np.flatnonzero(text == SEPARATOR)
     found: dict[tuple[int, int], tuple[int, int, int]] = {}

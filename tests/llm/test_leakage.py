@@ -1,8 +1,9 @@
 import random
 
 import numpy as np
+import pytest
 
-from papyrine.llm.leakage import FMIndex, leaks, passage, suffix_array, words
+from papyrine.llm.leakage import SEED, FMIndex, Phrases, leaks, passage, search_shard, suffix_array, words
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega one two three four five six seven eight nine ten".split()
 
@@ -59,3 +60,25 @@ def test_leaks(spark):
     assert got == [(10, 1), (10, 1), (11, 1), (13, 1), (14, 1), (14, 2)]
     assert leaks(df.where("false"), "doc_id", "text", it, "item_id", "item_text").count() == 0
     assert leaks(df, "doc_id", "text", it.where("false"), "item_id", "item_text").count() == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_every_run_is_tried(seed):
+    rnd = random.Random(seed)
+    text = [f"w{i}" for i in range(60)]
+    if seed:  # as it is, the first words give the first seed
+        rnd.shuffle(text)
+    wrong = lambda own, *at: [("other" if i in at else w) for i, w in enumerate(own)]
+    added = [*text[:6], "x", *text[6:12], "x", "x", *text[12:27], "x", "x", *text[27:60]]  # 5 words added, so shifts up to 5
+    docs = [wrong(text, *range(10, 16), *range(36, 60)), wrong(text, *range(24), *range(44, 50)), wrong(text[:30], 12, 14, 16), wrong(text[:30], 12, 13, 14, 16), added, text[:16]]
+    for items in ({1: text}, {1: text[::-1]}, {1: text, 2: text[:30]}):
+        phrases = Phrases(items)
+        coded = [[phrases.code.get(w, 1) for w in own] for own in docs + [own[::-1] for own in docs]]
+        want = {}
+        for d, own in enumerate(coded):
+            for key, item in phrases.items.items():
+                got = [passage(item, own, i, j) for i in range(len(item) - SEED + 1) for j in range(len(own) - SEED + 1) if item[i : i + SEED] == own[j : j + SEED]]
+                if any(got):
+                    want[d, key] = max(x for x in got if x)
+        assert {(d, key): tuple(rest) for d, key, *rest in search_shard(phrases, coded)} == want
+        assert len({d for d, _ in want}) == 4  # the same four of each direction
