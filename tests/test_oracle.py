@@ -18,6 +18,16 @@ def test_query_equals_its_sql(spark, data, name):
     assert canonical(got) == canonical(expected)
 
 
+def test_publications_of_all_dates(spark, data):
+    got = QUERIES["parsed_publications_whole"](spark, data).toPandas()
+    expected = connection(data).execute(SQL["parsed_publications_whole"]).df()
+    assert sorted(got.columns) == sorted(expected.columns)
+    assert canonical(got) == canonical(expected)
+    documents = spark.read.parquet(f"{data}/elsevier_publication.parquet").where("publication_dt is not null")
+    assert set(got["article_id"]) == {r[0] for r in documents.select("publication_id").collect()}
+    assert str(got["article_publication_dt"].max()) > "2014-12-31"
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).limit(1).count() == 1
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
