@@ -174,6 +174,14 @@ def nearest_area_top3(spark: SparkSession, d: str) -> DataFrame:
     return nearest_labels(e, "vec_id", "embedding", seeds, "vec_id", "embedding", "label").select("vec_id", F.col("label").cast("bigint").alias("label"), F.col("rank").cast("bigint").alias("rank"), F.round("similarity", 6).alias("similarity"))
 
 
+@register("WITH s AS (SELECT vec_id AS seed, label, embedding::DOUBLE[] AS v FROM embeddings WHERE label IS NOT NULL) SELECT vec_id, label, CAST(r AS BIGINT) AS rank, round(sim, 6) AS similarity FROM (SELECT e.vec_id, s.label::BIGINT AS label, list_cosine_similarity(e.embedding::DOUBLE[], s.v) AS sim, row_number() OVER (PARTITION BY e.vec_id ORDER BY round(list_cosine_similarity(e.embedding::DOUBLE[], s.v), 12) DESC, s.seed::VARCHAR, s.label::VARCHAR) AS r FROM embeddings e, s) WHERE r <= 3")
+def nearest_area_top3_whole(spark: SparkSession, d: str) -> DataFrame:
+    """All labelled vectors are seeds; in nearest_area_top3 every tenth is, as its SQL has it."""
+    e = read_table(spark, d, "embeddings")
+    seeds = e.where(F.col("label").isNotNull())
+    return nearest_labels(e, "vec_id", "embedding", seeds, "vec_id", "embedding", "label").select("vec_id", F.col("label").cast("bigint").alias("label"), F.col("rank").cast("bigint").alias("rank"), F.round("similarity", 6).alias("similarity"))
+
+
 @register("SELECT a.vec_id, b.vec_id AS other, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity FROM embeddings a JOIN embeddings b ON b.label = a.label AND b.vec_id = a.vec_id + 10")
 def cosine_expression(spark: SparkSession, d: str) -> DataFrame:
     e = read_table(spark, d, "embeddings")

@@ -28,6 +28,13 @@ def test_publications_of_all_dates(spark, data):
     assert str(got["article_publication_dt"].max()) > "2014-12-31"
 
 
+def test_all_labelled_vectors_are_seeds(spark, data):
+    got = QUERIES["nearest_area_top3_whole"](spark, data).toPandas()
+    assert canonical(got) == canonical(connection(data).execute(SQL["nearest_area_top3_whole"]).df())
+    best = got[got["rank"] == 1].set_index("vec_id")["similarity"]
+    assert len(best) and (best == 1).all()  # a labelled vector is its own nearest
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).limit(1).count() == 1
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
