@@ -37,8 +37,9 @@ BITS, LENGTHS = 16, (1, 2, 3)
 SCALE = 30
 #: The most labelled texts the model is trained on (those with the least key hashes, as many as possible of each label).
 SAMPLE_TEXTS = 3200
-#: The most sentences of a language the last model is trained on.
-SENTENCES = 1500
+#: The most sentences of a language a model is trained on, the learner's rate, and the shares of wrong labels that the
+#: temperature is fitted with.
+SENTENCES, ALPHA, NOISE = 1500, 0.1, (0.01, 0.03, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6)
 #: A sentence has so many words at least, and counts for its language from this confidence on.
 LEAST_WORDS, CONFIDENCE = 4, 0.7
 _BRACKETS = re.compile(r"\([^()]*\)|\[[^\[\]]*\]|\{[^{}]*\}")
@@ -94,9 +95,11 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
 
 
 def _learn(rows: Sparse, y: np.ndarray, epochs: int = 4, batch: int = 64) -> np.ndarray:
-    """Coefficients of the regression of y on the rows."""
-    ftrl = Ftrl(1 << BITS, len(LANGUAGES), alpha=1.0, l1=1e-3, l2=1e-3)
+    """Coefficients of the regression of y on the rows. Rare languages weigh as much as frequent ones, within a factor."""
+    ftrl = Ftrl(1 << BITS, len(LANGUAGES), alpha=ALPHA, l1=1e-3, l2=1e-3)
     random = np.random.default_rng(5)
+    counts = np.bincount(y, minlength=len(LANGUAGES))
+    weight = np.clip((len(y) / max(1, (counts > 0).sum()) / np.maximum(1, counts)) ** 0.5, 0.5, 4.0)[y]
     for _ in range(epochs):
         order = random.permutation(len(y))
         for at in range(0, len(order), batch):
@@ -104,44 +107,60 @@ def _learn(rows: Sparse, y: np.ndarray, epochs: int = 4, batch: int = 64) -> np.
             part = rows.take(own)
             error = softmax(part.times(ftrl.coefficients))
             error[np.arange(len(own)), y[own]] -= 1
-            ftrl.step(part, error)
+            ftrl.step(part, error * weight[own, None])
     return ftrl.coefficients
 
 
+def _temperature(scores: np.ndarray, y: np.ndarray) -> float:
+    """The temperature under which the scores of held-out sentences best explain the labels y of their texts, of which an
+    unknown share (fitted with it) names another language, as often as labels that the scores don't agree with. A weak
+    normal prior of its logarithm keeps it finite where no sentence is doubtful."""
+    if not len(y):
+        return 1.0
+    best, found = np.inf, 1.0
+    other = np.bincount(y[scores.argmax(axis=1) != y], minlength=len(LANGUAGES)) + 1.0
+    other /= other.sum()
+    for t in np.geomspace(0.05, 5, 40):
+        own = softmax(scores / t)[np.arange(len(y)), y]
+        for wrong in NOISE:
+            loss = -np.log((1 - wrong) * own + wrong * other[y] + 1e-12).sum() + np.log(t) ** 2 / 2
+            if loss < best:
+                best, found = loss, float(t)
+    return found
+
+
 def train(texts: list[str], labels: list[str], frequencies: np.ndarray, documents: int) -> Model:
     """A model from whole texts whose labels may be wrong and which may hold passages in other languages.
 
-    First the labels are cleaned: each third of the texts is judged by a model of the other two, and a text stays if that
-    agrees with its label. Then a model of those texts judges their sentences, and a sentence stays if it is given the
-    label of its text. The last model is trained on these, at most as many of each language as SENTENCES; every tenth is
-    kept apart for the temperature. Without texts the model gives equal probabilities.
+    Every tenth text is kept apart for the temperature, with all of its sentences. Of the others each third is judged by a
+    model of all sentences of the other two: a text stays if most of its sentences are given its label, and of these texts a
+    sentence stays if it is given the label. So no model judges what it has learnt from. The last model is trained on what
+    stays, at most SENTENCES sentences of a language. Without texts the model gives equal probabilities.
     """
     idf = np.log((1 + documents) / (1 + frequencies)) + 1
-    if not texts:
+    parts = [[s for s in (letters(s) for s in sentences(plain(t))) if s.count(" ") + 1 >= LEAST_WORDS] for t in texts]
+    text_of = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+    if not len(text_of):
         return Model(idf, np.zeros((1 << BITS, len(LANGUAGES)), np.float32), 1.0)
-    y = np.array([LANGUAGES.index(x) for x in labels], int)
-    parts = [[letters(s) for s in sentences(plain(t))] for t in texts]
-    rows = char_ngrams([" ".join(own) for own in parts], LENGTHS, BITS).scaled(idf, SCALE)
-    fold, agreed = np.arange(len(y)) % 3, np.zeros(len(y), bool)
+    y = np.array([LANGUAGES.index(x) for x in labels], int)[text_of]
+    rows = char_ngrams([s for own in parts for s in own], LENGTHS, BITS).scaled(idf, SCALE)
+    apart, fold = text_of % 10 == 9, text_of % 3
+    good = np.zeros(len(y), bool)
     for k in range(3):
-        own, others = np.flatnonzero(fold == k), np.flatnonzero(fold != k)
-        agreed[own] = rows.take(own).times(_learn(rows.take(others), y[others], epochs=2)).argmax(axis=1) == y[own]
-    clean = np.flatnonzero(agreed) if agreed.any() else np.arange(len(y))
-    first = _learn(rows.take(clean), y[clean], epochs=2)
-    flat = [(s, y[i]) for i in clean.tolist() for s in parts[i] if s.count(" ") + 1 >= LEAST_WORDS]
-    if not flat:
-        return Model(idf, first.astype(np.float32), 1.0)
-    single = char_ngrams([s for s, _ in flat], LENGTHS, BITS).scaled(idf, SCALE)
-    target = np.array([label for _, label in flat], int)
-    stays = single.times(first).argmax(axis=1) == target
-    order = np.random.default_rng(9).permutation(np.flatnonzero(stays))
-    place = pd.Series(target[order]).groupby(target[order]).cumcount().to_numpy()
-    order = order[place < SENTENCES]
-    held, used = order[::10], np.setdiff1d(order, order[::10])
-    coefficients = _learn(single.take(used), target[used])
-    scores = single.take(held).times(coefficients)
-    losses = {t: -np.log(np.maximum(softmax(scores / t)[np.arange(len(held)), target[held]], 1e-9)).mean() for t in np.geomspace(0.05, 5, 40)}
-    return Model(idf, coefficients.astype(np.float32), float(min(losses, key=losses.get)) if len(held) else 1.0)
+        own, others = np.flatnonzero((fold == k) & ~apart), np.flatnonzero((fold != k) & ~apart)
+        good[own] = rows.take(own).times(_learn(rows.take(_some(others, y)), y[_some(others, y)], epochs=2)).argmax(axis=1) == y[own]
+    share = np.bincount(text_of, good, len(parts)) / np.maximum(1, np.bincount(text_of, minlength=len(parts)))
+    kept = np.flatnonzero(good & (share[text_of] > 0.5) & ~apart)
+    used = _some(kept if len(kept) else np.flatnonzero(~apart), y)
+    coefficients = _learn(rows.take(used), y[used]) if len(used) else np.zeros((1 << BITS, len(LANGUAGES)))
+    held = np.flatnonzero(apart)
+    return Model(idf, coefficients.astype(np.float32), _temperature(rows.take(held).times(coefficients), y[held]))
+
+
+def _some(rows: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """At most SENTENCES of rows of each language, those that come first in a fixed order."""
+    rows = np.random.default_rng(9).permutation(rows)
+    return rows[pd.Series(y[rows]).groupby(y[rows]).cumcount().to_numpy() < SENTENCES]
 
 
 def fit(texts: DataFrame, labels: DataFrame) -> Model:
@@ -153,18 +172,21 @@ def fit(texts: DataFrame, labels: DataFrame) -> Model:
     frequencies = document_frequencies(texts)
     coded = labels.select("id", language_code(F.col("label")).alias("code")).where("code is not null and id is not null").distinct()
     share = Window.partitionBy("code").orderBy(F.xxhash64("id"), "id", "text")
-    rows = coded.join(texts, "id").withColumn("n", F.row_number().over(share)).where(F.col("n") <= SAMPLE_TEXTS // len(LANGUAGES)).select("text", "code").toPandas()
+    rows = coded.join(texts, "id").withColumn("n", F.row_number().over(share)).where(F.col("n") <= SAMPLE_TEXTS // len(LANGUAGES)).select("code", "n", "text").toPandas()
+    rows = rows.sort_values(["code", "n"], ignore_index=True)
     documents = int(texts.count())
     order = np.random.default_rng(3).permutation(len(rows))
     return train([rows["text"].iloc[i] for i in order], [rows["code"].iloc[i] for i in order], frequencies, documents)
 
 
 def classify(texts: DataFrame, model: Model) -> DataFrame:
-    """(id, sentence_no, words, language_code, confidence) of each sentence of each text."""
-    shared = texts.sparkSession.sparkContext.broadcast(model)  # 2 ** BITS numbers for each language, and as many
+    """(id, text_key, sentence_no, words, language_code, confidence) of each sentence of each text. text_key tells the texts
+    of an id apart."""
+    # 2 ** BITS numbers for each language, and as many; arrays, which executors read without this package
+    shared = texts.sparkSession.sparkContext.broadcast((model.idf, model.coefficients, model.temperature))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = shared.value
+        model = Model(*shared.value)
         for batch in batches:
             for at in range(0, len(batch), 500):
                 part = batch.iloc[at : at + 500]
@@ -178,6 +200,7 @@ def classify(texts: DataFrame, model: Model) -> DataFrame:
                 yield pd.DataFrame(
                     {
                         "id": np.repeat(part["id"].to_numpy(), sizes),
+                        "text_key": np.repeat(part["text_key"].to_numpy(), sizes),
                         "sentence_no": np.concatenate([np.arange(1, n + 1) for n in sizes]).astype("int32"),
                         "words": np.array([s.count(" ") + 1 if s else 0 for s in flat], "int32"),
                         "language_code": np.array(LANGUAGES, object)[best],
@@ -185,7 +208,7 @@ def classify(texts: DataFrame, model: Model) -> DataFrame:
                     }
                 )
 
-    return texts.select("id", "text").mapInPandas(run, "id string, sentence_no int, words int, language_code string, confidence double")
+    return texts.select("id", "text", F.xxhash64("text").alias("text_key")).mapInPandas(run, "id string, text_key long, sentence_no int, words int, language_code string, confidence double")
 
 
 def abstracts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,15 +235,19 @@ def found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sentences in a row of one language, as (article_id, passage_no, first_sentence, last_sentence, language_code,
-    confidence). Sentences too short or uncertain to tell belong to the passage before them."""
+    """Sentences in a row of one language, as (article_id, abstract_key, passage_no, first_sentence, last_sentence,
+    language_code, confidence), numbered within each different abstract of an article. Sentences too short or uncertain to
+    tell belong to the passage before them, or to the first one."""
     rows, _ = classified(spark, sf_dir)
-    by = Window.partitionBy("id").orderBy("sentence_no", "language_code")
+    text = Window.partitionBy("id", "text_key")
+    by = text.orderBy("sentence_no")
     sure = F.when((F.col("words") >= LEAST_WORDS) & (F.col("confidence") >= CONFIDENCE), F.col("language_code"))
-    rows = rows.withColumn("own", F.coalesce(F.last(sure, ignorenulls=True).over(by), F.first(sure, ignorenulls=True).over(Window.partitionBy("id"))))
+    rows = rows.withColumn("own", F.coalesce(F.last(sure, ignorenulls=True).over(by), F.first(sure, ignorenulls=True).over(by.rowsBetween(Window.currentRow, Window.unboundedFollowing))))
     rows = rows.withColumn("new", F.when(F.lag("own").over(by).eqNullSafe(F.col("own")) & (F.col("sentence_no") > 1), 0).otherwise(1))
     rows = rows.withColumn("passage_no", F.sum("new").over(by).cast("int"))
-    return rows.groupBy(F.col("id").alias("article_id"), "passage_no").agg(F.min("sentence_no").alias("first_sentence"), F.max("sentence_no").alias("last_sentence"), F.first("own").alias("language_code"), F.avg("confidence").alias("confidence"))
+    return rows.groupBy(F.col("id").alias("article_id"), F.col("text_key").alias("abstract_key"), "passage_no").agg(
+        F.min("sentence_no").alias("first_sentence"), F.max("sentence_no").alias("last_sentence"), F.first("own").alias("language_code"), F.avg("confidence").alias("confidence")
+    )
 
 
 def queries() -> dict:

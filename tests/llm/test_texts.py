@@ -57,6 +57,35 @@ def test_language_without_labels(spark, languages):
     assert [code(x) for x in ("en-GB", " English", "SLV", "xx", "", None)] == ["en", "en", "sl", None, None, None]
 
 
+FRENCH_AND_DUTCH = {
+    "De plus, cette démarche permet de préciser le lien entre l'âge et la performance.": "fr",
+    "L'article se termine par des recommandations valables sur plusieurs sites.": "fr",
+    "On comprend ainsi mieux le cadre juridique actuel qu'auparavant.": "fr",
+    "Het artikel eindigt met aanbevelingen die ook vergeleken met eerder werk gelden.": "nl",
+    "Even so, wound care rose in two phases under routine conditions.": "en",
+}
+
+
+def test_languages_of_the_small_tables(spark):
+    texts, labels = language.abstracts(spark, "/root/testdata/sf0.01"), language.article_labels(spark, "/root/testdata/sf0.01")
+    model = language.fit(texts, labels)
+    assert 0.1 < model.temperature < 4  # inside the grid
+    again = language.fit(texts.repartition(5), labels.repartition(3))
+    assert model.temperature == again.temperature and np.array_equal(model.coefficients, again.coefficients)
+    chances = model.probabilities([language.letters(s) for s in FRENCH_AND_DUTCH])
+    assert [language.LANGUAGES[i] for i in chances.argmax(axis=1)] == list(FRENCH_AND_DUTCH.values())
+    assert chances.max(axis=1).min() >= language.CONFIDENCE
+
+
+def test_passages_of_several_abstracts(spark, monkeypatch):
+    sure = lambda k, n, code: ("a", k, n, 9, code, 0.9)
+    rows = [sure(1, 1, "en"), sure(1, 2, "fr"), ("a", 1, 3, 1, "de", 0.3), sure(2, 1, "fr"), sure(2, 2, "fr"), ("a", 3, 1, 2, "it", 0.4), sure(3, 2, "nl")]
+    df = spark.createDataFrame(rows, "id string, text_key long, sentence_no int, words int, language_code string, confidence double")
+    monkeypatch.setattr(language, "classified", lambda *_: (df, None))
+    got = sorted((r.abstract_key, r.passage_no, r.first_sentence, r.last_sentence, r.language_code) for r in language.passages(spark, "").collect())
+    assert got == [(1, 1, 1, 1, "en"), (1, 2, 2, 3, "fr"), (2, 1, 1, 2, "fr"), (3, 1, 1, 2, "nl")]
+
+
 def test_spellings_of_abuse():
     assert abuse.normal_words("V3rm1n s c u m, nakkkked p.u.r.g.e fоol t**p 2020") == ["vermin", "scum", "naked", "purge", "fool", "t**p"]
     assert abuse.passages("One thing; another thing - third, and fourth") == [["one", "thing"], ["another", "thing"], ["third"], ["fourth"]]
@@ -96,11 +125,12 @@ def test_subjects(spark):
         labels += [(f"t{i}", a if i % 7 else b), *([(f"t{i}", f" {b[0]} {b[1:]}")] if double and i % 2 else [])]
     df = spark.createDataFrame(rows, "id string, path string, text string")
     areas = spark.createDataFrame([(f"{c[0]} {c[1:]}", n) for c, n in names.items()], "code string, name string")
-    model = subjects.fit(df, spark.createDataFrame([*labels, (None, "A1"), ("t1", None)], "id string, code string"), areas)
+    model, listed = subjects.fit(df, spark.createDataFrame([*labels, (None, "A1"), ("t1", None)], "id string, code string"), areas)
     say_all = lambda *cs: " ".join(say(c) for c in cs)
     test = spark.createDataFrame([("one", "x", say_all("A1", "A1", "A1", "B2")), ("two", None, say_all("A1", "A1", "A1", "A1", "B2", "B2", "B2", "B2")), ("empty", "x", " "), ("null", "x", None)], "id string, path string, text string").withColumn("code", F.lit("clash"))
     got = {}
-    for r in subjects.classify(test, model).collect():
+    for r in subjects.classify(test, model, listed).collect():
         got.setdefault(r.id, set()).add(r.code)
     assert got == {"one": {"A1"}, "two": {"A1", "B2"}}
-    assert subjects.fit(df.where("false"), spark.createDataFrame([("t1", "A1")], "id string, code string"), areas).threshold > 0
+    assert subjects.fit(df.where("false"), spark.createDataFrame([("t1", "A1")], "id string, code string"), areas)[0].further.min() > 0
+    assert model.first.shape == model.further.shape == (3,) and len(set(model.further.round(6))) > 1  # a threshold for each area
