@@ -145,13 +145,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(id, score, flagged, worst_passage, worst_score) for every row: null, empty and blank texts score 0 and have no
-    worst passage. No shuffle; the model (2 ** BITS numbers) is sent to the tasks."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = dict(docs.dtypes)["id"]
+    """(id, source if docs have one, score, flagged, worst_passage, worst_score) for every row: null, empty and blank texts
+    score 0 and have no worst passage. No shuffle; the model (2 ** BITS numbers, plain arrays) is sent to the tasks."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.coefficients, model.bias, model.threshold))
+    carried = [c for c in ("id", "source") if c in docs.columns]
+    kinds = dict(docs.dtypes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = shared.value
+        model = Model(*shared.value)
         for batch in batches:
             for at in range(0, len(batch), 300):
                 part = batch.iloc[at : at + 300]
@@ -163,13 +164,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 begin = np.searchsorted(bag, np.arange(len(part)))
                 worst = [int(chance[a : a + len(x)].argmax()) + 1 if x else None for a, x in zip(begin.tolist(), own, strict=True)]
                 high = [float(chance[a : a + len(x)].max()) if x else None for a, x in zip(begin.tolist(), own, strict=True)]
-                yield pd.DataFrame({"id": part["id"].to_numpy(), "score": whole, "flagged": whole >= model.threshold, "worst_passage": pd.array(worst, "Int32"), "worst_score": pd.array(high, "Float64")})
+                yield pd.DataFrame({**{c: part[c].to_numpy() for c in carried}, "score": whole, "flagged": whole >= model.threshold, "worst_passage": pd.array(worst, "Int32"), "worst_score": pd.array(high, "Float64")})
 
-    return docs.select("id", "text").mapInPandas(run, f"id {kind}, score double, flagged boolean, worst_passage int, worst_score double")
+    return docs.select(*carried, "text").mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in carried) + ", score double, flagged boolean, worst_passage int, worst_score double")
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "source", "text")
     labels = read_table(spark, sf_dir, "doc_label").select(F.col("doc_id").alias("id"), F.col("is_unwanted").alias("label"))
     return score(docs, fit(docs, labels))
 
@@ -179,13 +180,12 @@ def found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scored(spark, sf_dir).withColumnRenamed("id", "doc_id")
+    return scored(spark, sf_dir).drop("source").withColumnRenamed("id", "doc_id")
 
 
 def source_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per source: documents, flagged documents, their rate, and the mean score."""
-    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "source")
-    return scored(spark, sf_dir).join(docs.dropDuplicates(["id"]), "id", "left").groupBy("source").agg(F.count("*").alias("documents"), F.sum(F.col("flagged").cast("long")).alias("flagged"), F.avg(F.col("flagged").cast("double")).alias("rate"), F.avg("score").alias("mean_score"))
+    """Per source: documents, flagged documents, their rate, and the mean score. A null source is one of its own."""
+    return scored(spark, sf_dir).groupBy("source").agg(F.count("*").alias("documents"), F.sum(F.col("flagged").cast("long")).alias("flagged"), F.avg(F.col("flagged").cast("double")).alias("rate"), F.avg("score").alias("mean_score"))
 
 
 def queries() -> dict:
