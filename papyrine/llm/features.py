@@ -8,7 +8,7 @@ import zlib
 
 import numpy as np
 
-_TAG = re.compile(r"</?[A-Za-z][^<>]{0,300}>")
+_TAG = re.compile(r"</?[A-Za-z][^<>]*>")
 _SENTENCE_END = re.compile(r"(?<=[.!?。？！])[\"'”’)\]]?\s+|\n+")
 
 

@@ -16,7 +16,6 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +34,7 @@ SAMPLE = 16
 ITEM_BLOCK = 5_000
 SEPARATOR, OTHER = 0, 1
 
-_TAG = re.compile(r"</?[A-Za-z][^<>]{0,200}>")
+_TAG = re.compile(r"</?[A-Za-z][^<>]*>")
 _BREAK = re.compile(r"[-‐‑]\s*\n\s*")
 _WORD = re.compile(r"[^\W_]+")
 _JOIN = re.compile(r"(?<=[^\W_])[-‐‑'’.,:/](?=[^\W_])")
@@ -64,11 +63,24 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall(_JOIN.sub("", text.lower()))
 
 
-def item_words(items: dict[int, str | None]) -> dict[int, list[str]]:
-    """Each item's words, without an opening sentence that several items share (an instruction line)."""
-    opening = {key: re.split(r"(?<=[.?!:])\s+", (text or "").strip(), maxsplit=1) for key, text in items.items()}
-    shared = Counter(" ".join(words(parts[0])) for parts in opening.values())
-    return {key: words(parts[-1] if len(parts) > 1 and shared[" ".join(words(parts[0]))] > 1 else items[key]) for key, parts in opening.items()}
+def opening(text: str) -> tuple[str, str]:
+    """The first sentence of an item, and what follows it (nothing if there is only one)."""
+    parts = re.split(r"(?<=[.?!:])\s+", text.strip(), maxsplit=1)
+    return parts[0], parts[1] if len(parts) > 1 else ""
+
+
+def item_words(items: DataFrame) -> DataFrame:
+    """(item_id, words): the words of each item (item_id, text), without an opening sentence that several items share (an
+    instruction line)."""
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            parts = [opening(t) for t in batch["text"]]
+            yield pd.DataFrame({"item_id": batch["item_id"], "opening": [" ".join(words(a)) for a, _ in parts], "whole": [words(t) for t in batch["text"]], "rest": [words(b) for _, b in parts]})
+
+    parts = items.mapInPandas(split, "item_id long, opening string, whole array<string>, rest array<string>")
+    shared = parts.groupBy("opening").agg((F.count("*") > 1).alias("shared"))
+    return parts.join(shared, "opening").select("item_id", F.when(F.col("shared") & (F.size("rest") > 0), F.col("rest")).otherwise(F.col("whole")).alias("words"))
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -195,11 +207,15 @@ def passage(item: list[int], text: list[int], i: int, j: int) -> tuple[int, int,
     return best
 
 
+def codes(vocabulary: set[str]) -> dict[str, int]:
+    return {word: k + 2 for k, word in enumerate(sorted(vocabulary))}
+
+
 class Phrases:
-    """The items' words as codes, and all their phrases of SEED words."""
+    """The items' words as codes (of the words of these items, or of all), and all their phrases of SEED words."""
 
-    def __init__(self, items: dict[int, list[str]]) -> None:
-        self.code = {word: k + 2 for k, word in enumerate(sorted({w for own in items.values() for w in own}))}
+    def __init__(self, items: dict[int, list[str]], code: dict[str, int] | None = None) -> None:
+        self.code = code or codes({w for own in items.values() for w in own})
         self.sigma = len(self.code) + 2
         self.items = {key: [self.code[w] for w in own] for key, own in items.items() if len(own) >= LEAST_WORDS - 1}
         rows = sorted((tuple(own[i : i + SEED]), key, i) for key, own in self.items.items() for i in range(len(own) - SEED + 1))
@@ -216,12 +232,18 @@ class Phrases:
             self.table[self.row[key], : len(own)] = own
 
 
-def search_shard(phrases: Phrases, docs: list[list[int]]) -> list[tuple[int, int, int, int, int]]:
-    """(document number, item, item words, first and last word of the passage) of one shard."""
-    text = np.array([c for own in docs for c in (*own, SEPARATOR)], np.int32)
+def joined(docs: list[list[int]]) -> np.ndarray:
+    return np.array([c for own in docs for c in (*own, SEPARATOR)], np.int32)
+
+
+def search_shard(phrases: Phrases, docs: list[list[int]], index: FMIndex | None = None) -> list[tuple[int, int, int, int, int]]:
+    """(document number, item, item words, first and last word of the passage) of one shard: every longest passage through a
+    seed that lies in no other one of the same document and item, the longest ones last. index: of the joined docs, if it is
+    there already."""
+    text = joined(docs)
     if not len(phrases.unique) or len(text) <= SEED:
         return []
-    index = FMIndex(text, phrases.sigma)
+    index = index or FMIndex(text, phrases.sigma)
     low, high = index.search(phrases.unique)
     hits = high - low
     which = np.repeat(np.arange(len(hits)), hits)
@@ -257,61 +279,83 @@ def search_shard(phrases: Phrases, docs: list[list[int]]) -> list[tuple[int, int
             enough = (total[:, LEAST_WORDS:] - total[:, :-LEAST_WORDS]).max(axis=1) >= LEAST_WORDS - 3
         keep.append(part[enough])
     ends = np.flatnonzero(text == SEPARATOR)
-    found: dict[tuple[int, int], tuple[int, int, int]] = {}
+    found: dict[tuple[int, int], set[tuple[int, int, int]]] = {}
     for h in np.concatenate(keep).tolist() if keep else []:
         doc = int(np.searchsorted(ends, at[h]))
         begin = int(ends[doc - 1]) + 1 if doc else 0
         item = int(key[h])
         if got := passage(phrases.items[item], docs[doc], int(start[h]), int(at[h]) - begin):
-            found[doc, item] = max(found.get((doc, item), got), got)
-    return [(doc, item, *got) for (doc, item), got in found.items()]
+            found.setdefault((doc, item), set()).add(got)
+    return [(doc, item, *got) for (doc, item), own in found.items() for got in outermost(own)]
+
+
+def outermost(passages: set[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The passages (item words, first word, last word) that lie in no other one, in order of their item words. Of those of
+    the same place the one of the most item words stays."""
+    kept, reached = [], -1
+    for got in sorted(passages, key=lambda x: (x[1], -x[2], -x[0])):
+        if got[2] > reached:
+            kept.append(got)
+            reached = got[2]
+    return sorted(kept)
 
 
 def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str) -> DataFrame:
-    """(key, item_id, item_words, first_word, last_word): every document that holds a passage of an item, with the longest
-    such passage as the places of its first and last word in the document.
+    """(key, item_id, item_words, first_word, last_word): every passage of an item in a document, as the places of its first
+    and last word there; of passages within each other the outer one.
 
     A passage is at least LEAST_WORDS words in sequence of the item with at most one in WORDS_PER_ERROR changed, left out or
     added. Null or empty texts hold none; repeated document keys give repeated rows. Items with a null key or without
     enough words can't be leaked; repeated item keys count once (the greatest text).
 
-    Each task indexes its own documents, in shards of SHARD_WORDS words; nothing is shuffled. Items are held-out tests: they
-    are collected in blocks of ITEM_BLOCK, and for more items the corpus is indexed once for each block.
+    Each task indexes its own documents once, in shards of SHARD_WORDS words, and searches every block of ITEM_BLOCK items
+    in each; nothing is shuffled. Items are held-out tests: the driver reads them block by block, and keeps their vocabulary.
     """
-    clean = items.where(F.col(item_key).isNotNull() & F.col(item_text).isNotNull()).groupBy(F.col(item_key).cast("long").alias("item_id")).agg(F.max(item_text).alias("t"))
-    listed = {r["item_id"]: r["t"] for r in clean.toLocalIterator()}
-    own = item_words(listed)
+    context = docs.sparkSession.sparkContext
+    clean = items.where(F.col(item_key).isNotNull() & F.col(item_text).isNotNull()).groupBy(F.col(item_key).cast("long").alias("item_id")).agg(F.max(item_text).alias("text"))
+    own: dict[int, list[str]] = {}
+    vocabulary: set[str] = set()
+    blocks = []
+    for row in item_words(clean).toLocalIterator():
+        own[row["item_id"]] = list(row["words"])
+        vocabulary.update(row["words"])
+        if len(own) == ITEM_BLOCK:
+            blocks.append(context.broadcast(own))
+            own = {}
+    blocks.append(context.broadcast(own))
+    known = context.broadcast(codes(vocabulary))
     kind = dict(docs.dtypes)[key]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        code = known.value
+        only = Phrases(blocks[0].value, code) if len(blocks) == 1 else None
+        held: list[list[int]] = []
+        keys: list = []
+        size = 0
+
+        def search() -> Iterator[pd.DataFrame]:
+            text = joined(held)
+            index = FMIndex(text, len(code) + 2) if code and len(text) > SEED else None
+            for block in blocks if index else []:
+                rows = search_shard(only or Phrases(block.value, code), held, index)
+                yield pd.DataFrame([(keys[d], *rest) for d, *rest in rows], columns=["k", "item_id", "item_words", "first_word", "last_word"])
+
+        for batch in batches:
+            for k, t in zip(batch["k"], batch["t"], strict=True):
+                coded = [code.get(w, OTHER) for w in words(t)]
+                held.append(coded)
+                keys.append(k)
+                size += len(coded) + 1
+                if size >= SHARD_WORDS:
+                    yield from search()
+                    held.clear()
+                    keys.clear()
+                    size = 0
+        if held:
+            yield from search()
+
     source = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
-    names = sorted(own)
-    result = None
-    for at in range(0, max(1, len(names)), ITEM_BLOCK):
-        block = {name: own[name] for name in names[at : at + ITEM_BLOCK]}
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            phrases = Phrases(shared.value)
-            held: list[list[int]] = []
-            keys: list = []
-            size = 0
-            for batch in batches:
-                for k, t in zip(batch["k"], batch["t"], strict=True):
-                    coded = [phrases.code.get(w, OTHER) for w in words(t)]
-                    held.append(coded)
-                    keys.append(k)
-                    size += len(coded) + 1
-                    if size >= SHARD_WORDS:
-                        yield frame(keys, search_shard(phrases, held))
-                        held, keys, size = [], [], 0
-            if held:
-                yield frame(keys, search_shard(phrases, held))
-
-        def frame(keys: list, rows: list[tuple[int, int, int, int, int]]) -> pd.DataFrame:
-            return pd.DataFrame([(keys[d], *rest) for d, *rest in rows], columns=["k", "item_id", "item_words", "first_word", "last_word"])
-
-        part = source.mapInPandas(run, f"k {kind}, item_id long, item_words int, first_word int, last_word int")
-        result = part if result is None else result.unionByName(part)
-    return result.withColumnRenamed("k", key)
+    return source.mapInPandas(run, f"k {kind}, item_id long, item_words int, first_word int, last_word int").withColumnRenamed("k", key)
 
 
 def spans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,6 +41,27 @@ def test_passages():
     assert all(passage(item, every_fifth, i, i) is None for i in range(0, 30, 5))
 
 
+def test_every_copy_is_reported(spark, monkeypatch):
+    rnd = random.Random(8)
+    item = [f"w{i}" for i in range(40)]
+    phrases = Phrases({1: item})
+    text = [*item[:20], *["x"] * 9, *item, *["y"] * 5, *item[10:31]]
+    coded, own = [phrases.code.get(w, 1) for w in text], phrases.items[1]
+    got = search_shard(phrases, [coded])
+    tried = [passage(own, coded, i, j) for i in range(len(own) - SEED + 1) for j in range(len(coded) - SEED + 1) if own[i : i + SEED] == coded[j : j + SEED]]
+    assert {x[2:] for x in got} == {p for p in tried if p and not any(q and q != p and q[1] <= p[1] and p[2] <= q[2] for q in tried)}
+    spans = sorted(x[3:] for x in got)
+    for first, last in [(0, 19), (29, 68), (74, 94)]:  # three passages of one item
+        assert sum(a <= first and last <= b for a, b in spans) == 1
+    tag = "<a href='" + "long " * 100 + "'>"
+    docs = spark.createDataFrame([(1, " ".join(text)), (2, " ".join([*item[:15], tag, *item[15:]]))], "doc_id long, text string")
+    items = spark.createDataFrame([(k, " ".join(item if k == 3 else [rnd.choice(WORDS) + str(k) for _ in range(20)])) for k in range(6)], "item_id long, item_text string")
+    whole = sorted(tuple(r) for r in leaks(docs, "doc_id", "text", items, "item_id", "item_text").collect())
+    assert [r[:2] for r in whole] == [(1, 3)] * len(spans) + [(2, 3)]
+    monkeypatch.setattr("papyrine.llm.leakage.ITEM_BLOCK", 2)
+    assert sorted(tuple(r) for r in leaks(docs, "doc_id", "text", items, "item_id", "item_text").collect()) == whole
+
+
 def sentence(rnd, n):
     return " ".join(rnd.choice(WORDS) for _ in range(n))
 
