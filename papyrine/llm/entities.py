@@ -8,6 +8,8 @@ through joins until the beliefs settle; the result is every pair's marginal prob
 
 from __future__ import annotations
 
+import math
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,13 +25,13 @@ from papyrine.session import checkpointed, read_table
 #: work as this is of their number. Keys that more members than this hold are joined in parts.
 SHARED_KEY = 50
 #: Log odds: without agreement of names; where a name is missing; with agreement, and what a full agreement adds to a bare
-#: one; for each shared work up to MOST_WORKS; for sharing a greater part of the member's works.
-NO_NAME, UNKNOWN_NAME, NAME, FULL_NAME, WORK, MOST_WORKS, SHARE = -7.0, -4.0, 0.5, 2.5, 0.7, 6, 2.0
+#: one; for shared works (times the logarithm of 1 + half their number); for sharing a greater part of the member's works.
+NO_NAME, UNKNOWN_NAME, NAME, FULL_NAME, WORK, SHARE = -7.0, -4.0, 0.5, 2.5, 2.0, 2.0
 #: Factor on the odds of each further author id of a member.
 FURTHER_AUTHOR = 0.3
-#: Exchanges of messages at most, the change of a probability that counts as settled, damping, and prior log odds under
-#: which a pair takes no part in the exchange.
-ROUNDS, SETTLED, DAMPING, HOPELESS = 10, 0.02, 0.2, -3.0
+#: Exchanges of messages after which a warning says that they haven't settled, the change of a probability that counts as
+#: settled, damping, and prior log odds under which a pair's own messages stay as its prior gives them.
+ROUNDS, SETTLED, DAMPING, HOPELESS = 60, 0.01, 0.2, -3.0
 
 
 def doi_key(doi: Column) -> Column:
@@ -50,6 +52,12 @@ def title_key(title: Column) -> Column:
     return F.when(F.length(text) >= 12, text)
 
 
+def short_title_key(title: Column) -> Column:
+    """As title_key, of the titles that are shorter than that needs. Many works may share one, so it tells little."""
+    text = F.regexp_replace(F.regexp_replace(F.lower(title), r"<[^>]*>|&#?\w+;", " "), r"[^\p{L}\p{N}]+", "")
+    return F.when((F.length(text) < 12) & (F.length(text) > 0), text)
+
+
 def keyed(rows: DataFrame, owner: str, keys: dict[str, Column]) -> DataFrame:
     """(owner, key): a hash of each non-null key with its kind. Two keys share a hash with a chance of 2 ** -64. Keys are
     hashed before anything is shuffled."""
@@ -125,12 +133,14 @@ def with_prior(pairs: DataFrame) -> DataFrame:
         known: dict[str, tuple[list[str], set[str]]] = {}
 
         def parts(name: str) -> tuple[list[str], set[str]]:
-            """A name's parts, and their beginnings and ends: names of one person share one of these."""
+            """A name's parts, and these with and (if so long that a typing error counts) without each letter: names that
+            agree in a surname share one of these."""
             if name not in known:
-                if len(known) > 200_000:
+                if len(known) > 50_000:
                     known.clear()
                 own = form(name).split(" ")
-                known[name] = own, {x for t in own if len(t) > 2 for x in (t[:4], "-" + t[-3:])}
+                each = [x for t in own for x in t.split("-") if len(x) > 1]
+                known[name] = own, {*each, *(x[:i] + x[i + 1 :] for x in each if len(x) > 3 for i in range(len(x)))}
             return known[name]
 
         for batch in batches:
@@ -140,9 +150,9 @@ def with_prior(pairs: DataFrame) -> DataFrame:
                 if not a or not b:
                     value = UNKNOWN_NAME
                 else:
-                    best = max((similarity(*sorted((x, y)), _NO_COUNTS)[0] for x, p in a for y, q in b if p & q), default=0)
+                    best = max((similarity(*sorted((x, y)), _NO_COUNTS)[0] for x, p in a for y, q in b if not p.isdisjoint(q)), default=0)
                     value = NAME + FULL_NAME * best if best > 0 else NO_NAME
-                odds.append(value + WORK * min(works, MOST_WORKS) + SHARE * (share - 0.5))
+                odds.append(value + WORK * math.log1p(works / 2) + SHARE * (share - 0.5))
             yield pd.DataFrame({"member_id": batch["member_id"], "author_id": batch["author_id"], "prior": odds})
 
     return pairs.mapInPandas(run, "member_id string, author_id string, prior double")
@@ -163,31 +173,49 @@ def propagate(pairs: DataFrame) -> DataFrame:
 
     Factor of an author: at most one of its pairs holds. Factor of a member: each pair beyond the first costs
     FURTHER_AUTHOR. Both send their messages in closed form, from a sum over the author's or member's pairs (map-side
-    summed, then joined back), so that no group is gathered in one task. Pairs whose prior log odds are under HOPELESS say
-    next to nothing to others: they exchange no messages and keep the probability of their prior.
+    summed, then joined back), so that no group is gathered in one task. Messages are exchanged until no probability changes
+    by SETTLED; if that takes more than ROUNDS rounds, a warning tells the last change. Pairs whose prior log odds are under
+    HOPELESS hardly weigh, so what they say is fixed by their prior and enters the sums once; they hear the others' messages
+    at the end and have a marginal probability like all.
     """
     prior = F.greatest(F.lit(-20.0), F.least(F.lit(20.0), "prior"))
     live = F.col("prior") >= HOPELESS
     pairs = checkpointed(pairs.select("member_id", "author_id", prior.alias("prior")))
     one, r = F.lit(1.0), F.lit(FURTHER_AUTHOR)
-    state = pairs.where(live).select("member_id", "author_id", F.exp("prior").alias("odds"), one.alias("to_author"), one.alias("to_member"), F.lit(0.0).alias("probability"), F.lit(0.0).alias("old"))
+    apart = pairs.where(~live).select("member_id", "author_id", F.exp("prior").alias("odds"))
+    fixed_u = apart.groupBy("author_id").agg(F.sum("odds").alias("fixed_u"))
+    fixed_v = apart.groupBy("member_id").agg(F.sum(F.log1p(r * F.col("odds"))).alias("fixed_v"))
+    state = pairs.where(live).join(fixed_u, "author_id", "left").join(fixed_v, "member_id", "left").select(
+        "member_id", "author_id", F.exp("prior").alias("odds"), F.coalesce("fixed_u", F.lit(0.0)).alias("fixed_u"), F.coalesce("fixed_v", F.lit(0.0)).alias("fixed_v"), one.alias("to_author"), one.alias("to_member"), F.lit(0.0).alias("probability"), F.lit(0.0).alias("old")
+    )
+    state = checkpointed(state)
     mixed = lambda old: F.pow(old, F.lit(DAMPING)) * F.pow("new", F.lit(1 - DAMPING))
+    other_u, other_v = (F.greatest(F.lit(0.0), F.col(f"all_{x}") - F.col(x)) for x in "uv")
+    says_author, p = 1 / (1 + other_u), F.exp(other_v)
+    says_member = p / (1 + (p - 1) / r)
     for _ in range(ROUNDS):
         # to_member: what the author's factor says; to_author: what the member's factor says (ratios of true to false)
         said = state.withColumn("u", F.col("odds") * F.col("to_author"))
-        total = said.groupBy("author_id").agg(F.sum("u").alias("all_u"))
-        said = said.join(total, "author_id").withColumn("new", 1 / (1 + F.greatest(F.lit(0.0), F.col("all_u") - F.col("u"))))
+        total = said.groupBy("author_id").agg((F.sum("u") + F.max("fixed_u")).alias("all_u"))
+        said = said.join(total, "author_id").withColumn("new", says_author)
         said = said.withColumn("to_member", mixed("to_member")).withColumn("v", F.log1p(r * F.col("odds") * F.col("to_member"))).drop("u", "all_u", "new")
-        total = said.groupBy("member_id").agg(F.sum("v").alias("all_v"))
-        said = said.join(total, "member_id").withColumn("p", F.exp(F.greatest(F.lit(0.0), F.col("all_v") - F.col("v"))))
-        said = said.withColumn("new", F.col("p") / (1 + (F.col("p") - 1) / r)).withColumn("to_author", mixed("to_author"))
+        total = said.groupBy("member_id").agg((F.sum("v") + F.max("fixed_v")).alias("all_v"))
+        said = said.join(total, "member_id").withColumn("new", says_member).withColumn("to_author", mixed("to_author"))
         belief = F.col("odds") * F.col("to_member") * F.col("to_author")
-        state = checkpointed(said.select("member_id", "author_id", "odds", "to_author", "to_member", (belief / (1 + belief)).alias("probability"), F.col("probability").alias("old")))
+        state = checkpointed(said.select("member_id", "author_id", "odds", "fixed_u", "fixed_v", "to_author", "to_member", (belief / (1 + belief)).alias("probability"), F.col("probability").alias("old")))
         change = state.agg(F.max(F.abs(F.col("probability") - F.col("old")))).first()[0]
         if change is None or change < SETTLED:
             break
-    apart = pairs.where(~live).select("member_id", "author_id", (1 / (1 + F.exp(-F.col("prior")))).alias("probability"))
-    return state.select("member_id", "author_id", "probability").unionByName(apart)
+    else:
+        warnings.warn(f"messages have not settled after {ROUNDS} rounds: a probability still changes by {change:.3f}", stacklevel=2)
+    live_u = state.groupBy("author_id").agg(F.sum(F.col("odds") * F.col("to_author")).alias("live_u"))
+    live_v = state.groupBy("member_id").agg(F.sum(F.log1p(r * F.col("odds") * F.col("to_member"))).alias("live_v"))
+    for some, key in ((live_u, "author_id"), (fixed_u, "author_id"), (live_v, "member_id"), (fixed_v, "member_id")):
+        apart = apart.join(some, key, "left")
+    zero = lambda x: F.coalesce(x, F.lit(0.0))
+    apart = apart.withColumn("u", F.col("odds")).withColumn("v", F.log1p(r * F.col("odds"))).withColumn("all_u", zero("live_u") + zero("fixed_u")).withColumn("all_v", zero("live_v") + zero("fixed_v"))
+    belief = F.col("odds") * says_author * says_member
+    return state.select("member_id", "author_id", "probability").unionByName(apart.select("member_id", "author_id", (belief / (1 + belief)).alias("probability")))
 
 
 def matches(works: DataFrame, persons: DataFrame, crossref: DataFrame, elsevier: DataFrame) -> DataFrame:
@@ -198,10 +226,10 @@ def matches(works: DataFrame, persons: DataFrame, crossref: DataFrame, elsevier:
     """
     crossref = crossref.select(orcid_key(F.col("author_orcid")).alias("member_id"), "article_doi", F.concat_ws(" ", "author_given_name", "author_family_name").alias("name")).where("member_id is not null").distinct()
     own_works = works.where("member_id is not null")
-    keys = keyed(own_works, "member_id", {"doi": doi_key(F.col("article_doi")), "eid": F.col("article_eid"), "title": title_key(F.col("article_title"))})
+    keys = keyed(own_works, "member_id", {"doi": doi_key(F.col("article_doi")), "eid": F.col("article_eid"), "title": title_key(F.col("article_title")), "short": short_title_key(F.col("article_title"))})
     keys = keys.unionByName(keyed(crossref.join(own_works.select("member_id").distinct(), "member_id", "left_semi"), "member_id", {"doi": doi_key(F.col("article_doi"))})).distinct()
     slim = elsevier.where("article_id is not null and author_id is not null")
-    articles = keyed(slim, "article_id", {"doi": doi_key(F.col("article_doi")), "eid": F.col("article_eid"), "title": title_key(F.col("article_title"))})
+    articles = keyed(slim, "article_id", {"doi": doi_key(F.col("article_doi")), "eid": F.col("article_eid"), "title": title_key(F.col("article_title")), "short": short_title_key(F.col("article_title"))})
     near = near_titles(titles_of(own_works), titles_of(slim))
     keys = keys.unionByName(keys.join(near, "key").select("member_id", F.col("near").alias("key"))).distinct()
     met = checkpointed(shared_works(keys, articles))

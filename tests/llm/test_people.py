@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from papyrine.llm import names
-from papyrine.llm.entities import SHARED_KEY, doi_key, matches, near_titles, orcid_key, propagate, shared_works, title_key, titles_of
+from papyrine.llm.entities import SHARED_KEY, doi_key, matches, near_titles, orcid_key, propagate, shared_works, title_key, titles_of, with_prior
 from papyrine.llm.names import cluster, form, join_shard, link, nickname, one_edit, similarity, spellings, weights
 
 
@@ -209,3 +209,20 @@ def test_clusters_against_plain_average_linkage():
         of = {x: g for g in groups.values() for x in g}
         for (a, b, _), holds in zip(pairs, cluster(pairs), strict=True):
             assert holds == (of[a] is of[b])
+
+
+def test_prior_of_a_surname_with_a_typing_error(spark):
+    rows = [("m1", "a1", 1.0, 1.0, ["Ana Novak"], ["Nowak A."]), ("m1", "a2", 1.0, 1.0, ["Ana Novak"], ["Zorkmark A."]), ("m1", "a3", 1.0, 1.0, None, ["Nowak A."]), ("m1", "a4", 500.0, 1.0, ["Ana Novak"], ["Ana Novak"])]
+    got = {r.author_id: r.prior for r in with_prior(spark.createDataFrame(rows, "member_id string, author_id string, works double, share double, member_names array<string>, author_names array<string>")).collect()}
+    assert got["a2"] < got["a3"] < 0 < got["a1"] < got["a4"]  # an error in the middle of the surname; more works always count
+
+
+def test_many_hopeless_pairs_weigh_together(spark):
+    rows = [("m0", "a", 1.0)] + [(f"m{i}", "a", -3.5) for i in range(1, 40)]
+    got = {r.member_id: r.probability for r in propagate(spark.createDataFrame(rows, "member_id string, author_id string, prior double")).collect()}
+    total = 1 + np.e + 39 * np.exp(-3.5)
+    assert got["m0"] == pytest.approx(np.e / total, abs=0.01) and got["m5"] == pytest.approx(np.exp(-3.5) / total, abs=0.01)
+    with pytest.warns(UserWarning, match="have not settled"):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr("papyrine.llm.entities.ROUNDS", 1)
+            propagate(spark.createDataFrame(rows, "member_id string, author_id string, prior double"))
