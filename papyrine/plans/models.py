@@ -58,6 +58,7 @@ class Context:
     #: Models that several others use are cut by a checkpoint when they are first asked for.
     cut: frozenset[str] = frozenset()
     built: dict[str, DataFrame] = field(default_factory=dict)
+    novelty: tuple[DataFrame, ...] = ()
 
     def table(self, name: str) -> DataFrame:
         if name not in self.tables:
@@ -118,6 +119,13 @@ def _novelty_rows(ctx: Context) -> DataFrame:
     return ctx.ref("mart_collaboration").join(facts.select("article_id", F.col("article_publication_dt").alias("dt")), "article_id")
 
 
+def _novelty(ctx: Context, which: int) -> DataFrame:
+    """One of the three tables of the novelty index; the pairs that they share are built once."""
+    if not ctx.novelty:
+        ctx.novelty = novelty(_novelty_rows(ctx), checkpointed)
+    return ctx.novelty[which]
+
+
 INSTITUTION_COLUMNS = ("institution_id", "institution_name", "institution_pretty_name", "institution_country", "scopus_affiliation_id", "institution_language", "institution_country_iso2")
 DERIVED: dict[str, Callable[[Context], DataFrame]] = {
     "elsevier_publication_affiliation": _affiliations,
@@ -126,9 +134,9 @@ DERIVED: dict[str, Callable[[Context], DataFrame]] = {
     "article_keyword_trend": _keyword_trend,
     "crossref_top_n_research_area_publication": _seeds,
     "alliance_institution": lambda ctx: ctx.spark.createDataFrame([("INST_A", "Institute A", "A", "Norvia", "60900001", "no", "NO"), ("INST_B", "Institute B", "B", "Caldora", "60900017", "ca", "CA"), ("INST_C", "Institute C", "C", "Quorin", "60900010", "qu", "QU")], ", ".join(f"{c} string" for c in INSTITUTION_COLUMNS)),
-    "collaboration_novelty_index": lambda ctx: novelty(_novelty_rows(ctx))[0],
-    "collaboration_novelty_metadata": lambda ctx: novelty(_novelty_rows(ctx))[1],
-    "new_author_pair": lambda ctx: novelty(_novelty_rows(ctx))[2],
+    "collaboration_novelty_index": lambda ctx: _novelty(ctx, 0),
+    "collaboration_novelty_metadata": lambda ctx: _novelty(ctx, 1),
+    "new_author_pair": lambda ctx: _novelty(ctx, 2),
 }
 
 # ------------------------------------------------------------------------------------------------------------------- staging
