@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from papyrine.functions.scalars import array_text, clamped_date, cosine, institution_code, json_date, keyword_list, mean_pool, snake_case, strip_quotes, truncated_quotient, unit
 from papyrine.operators.enrich import FREQUENT_WORDS, batches_of, frequent_word_language, hashed_vectors, joined_text, nearest_labels, next_batch, top_terms
 from papyrine.operators.novelty import novelty
-from papyrine.operators.parse import latest, parse_crossref, parse_publications, primary_ids
+from papyrine.operators.parse import TITLES, latest, parse_crossref, parse_publications, primary_ids
 from papyrine.plans.model_queries import PATTERNS, _clean, _items
-from papyrine.plans.models import author_role, best_non_null, co_author_edges, collaboration_flags, earlier_works, keyword_trend, normalized_citations, with_default_member
+from papyrine.plans.model_queries import SQL as MODEL_SQL
+from papyrine.plans.models import author_role, best_non_null, co_author_edges, collaboration_flags, documents_of, earlier_works, keyword_trend, normalized_citations, with_default_member
 from papyrine.session import read_table
 from papyrine.sources.sinks import delete_insert, not_in, unprocessed, upsert
 from papyrine.streaming.incremental import windowed_counts
@@ -110,6 +111,12 @@ def primary_id_rank(spark: SparkSession, d: str) -> DataFrame:
     return primary_ids(p, "p_brand", "u", "p_type")
 
 
+@register("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
+def not_in_orders(spark: SparkSession, d: str) -> DataFrame:
+    urgent = read_table(spark, d, "orders").where("o_orderpriority = '1-URGENT'")
+    return not_in(read_table(spark, d, "customer"), "c_custkey", urgent, "o_custkey").select("c_custkey", "c_name")
+
+
 @register("SELECT n_name FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 0) ")
 def not_in_null_aware(spark: SparkSession, d: str) -> DataFrame:
     return not_in(read_table(spark, d, "nation"), "n_nationkey", read_table(spark, d, "supplier").where("s_acctbal > 0"), "s_nationkey").select("n_name")
@@ -167,16 +174,9 @@ def novelty_flags(spark: SparkSession, d: str) -> DataFrame:
     return novelty(collaborations(spark, d))[1]
 
 
-@register("WITH s AS (SELECT vec_id AS seed, label, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id % 10 = 0) SELECT vec_id, label, CAST(r AS BIGINT) AS rank, round(sim, 6) AS similarity FROM (SELECT e.vec_id, s.label::BIGINT AS label, list_cosine_similarity(e.embedding::DOUBLE[], s.v) AS sim, row_number() OVER (PARTITION BY e.vec_id ORDER BY round(list_cosine_similarity(e.embedding::DOUBLE[], s.v), 12) DESC, s.seed::VARCHAR, s.label::VARCHAR) AS r FROM embeddings e, s) WHERE r <= 3")
-def nearest_area_top3(spark: SparkSession, d: str) -> DataFrame:
-    e = read_table(spark, d, "embeddings")
-    seeds = e.where("vec_id % 10 = 0")  # the labelled part: every vector is a query
-    return nearest_labels(e, "vec_id", "embedding", seeds, "vec_id", "embedding", "label").select("vec_id", F.col("label").cast("bigint").alias("label"), F.col("rank").cast("bigint").alias("rank"), F.round("similarity", 6).alias("similarity"))
-
-
 @register("WITH s AS (SELECT vec_id AS seed, label, embedding::DOUBLE[] AS v FROM embeddings WHERE label IS NOT NULL) SELECT vec_id, label, CAST(r AS BIGINT) AS rank, round(sim, 6) AS similarity FROM (SELECT e.vec_id, s.label::BIGINT AS label, list_cosine_similarity(e.embedding::DOUBLE[], s.v) AS sim, row_number() OVER (PARTITION BY e.vec_id ORDER BY round(list_cosine_similarity(e.embedding::DOUBLE[], s.v), 12) DESC, s.seed::VARCHAR, s.label::VARCHAR) AS r FROM embeddings e, s) WHERE r <= 3")
-def nearest_area_top3_whole(spark: SparkSession, d: str) -> DataFrame:
-    """All labelled vectors are seeds; in nearest_area_top3 every tenth is, as its SQL has it."""
+def nearest_area_top3(spark: SparkSession, d: str) -> DataFrame:
+    """Every vector against all labelled vectors."""
     e = read_table(spark, d, "embeddings")
     seeds = e.where(F.col("label").isNotNull())
     return nearest_labels(e, "vec_id", "embedding", seeds, "vec_id", "embedding", "label").select("vec_id", F.col("label").cast("bigint").alias("label"), F.col("rank").cast("bigint").alias("rank"), F.round("similarity", 6).alias("similarity"))
@@ -218,17 +218,44 @@ def json_extract(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"), F.json_array_length(F.concat(F.lit("["), "props", F.lit(",null]"))).cast("bigint").alias("n"))
 
 
-@register("SELECT k, CASE k WHEN 1 THEN '2021-03-04' WHEN 2 THEN '2021-02-03' WHEN 3 THEN '2020-05-01' WHEN 4 THEN NULL WHEN 5 THEN NULL WHEN 6 THEN '2021-03-04' END AS strict, CASE k WHEN 1 THEN '2021-03-04' WHEN 2 THEN '2021-02-03' WHEN 3 THEN '2020-05-01' WHEN 4 THEN '2020-06-01' WHEN 5 THEN NULL WHEN 6 THEN '2021-02-03' END AS lenient FROM range(1, 7) t(k)")
+def _sql_date(json: str, lenient: bool = False) -> str:
+    """json_date in DuckDB."""
+    moment = f"CAST(TRY_STRPTIME(substr({json} ->> '$.\"date-time\"', 1, 10), '%Y-%m-%d') AS DATE)"
+    millis = f"(DATE '1970-01-01' + CAST(floor(TRY_CAST({json} ->> '$.timestamp' AS BIGINT) / 86400000.0) AS INTEGER))"
+    y, m, day = (f"TRY_CAST({json} ->> '$.\"date-parts\"[0][{i}]' AS INTEGER)" for i in range(3))
+    if lenient:
+        m, day = f"coalesce({m}, 1)", f"coalesce({day}, 1)"
+    parts = f"CASE WHEN {y} IS NOT NULL AND {m} IS NOT NULL AND {day} IS NOT NULL THEN TRY_CAST(printf('%04d-%02d-%02d', {y}, {m}, {day}) AS DATE) END"
+    return f"coalesce({millis}, {moment}, {parts})" if lenient else f"coalesce({moment}, {millis}, {parts})"
+
+
+#: The readable publications without their wrapper.
+_DOCUMENTS = f"WITH x_documents AS ({MODEL_SQL['x_documents'][1]})"
+DATE_MEMBERS = ("indexed", "published", "created", "issued")
+
+
+@register(f"{_DOCUMENTS} SELECT publication_doi, m AS member, CAST({_sql_date('j')} AS VARCHAR) AS strict, CAST({_sql_date('j', True)} AS VARCHAR) AS lenient FROM ({' UNION ALL '.join(f"SELECT publication_doi, '{m}' AS m, d -> '$.{m}' AS j FROM x_documents" for m in DATE_MEMBERS)})")
 def json_dates(spark: SparkSession, d: str) -> DataFrame:
-    rows = ['{"date-time":"2021-03-04T01:02:03Z"}', '{"timestamp":1612310400000}', '{"date-parts":[[2020,5,1]]}', '{"date-parts":[[2020,6]]}', '{"date-parts":[[null]]}', '{"date-time":"2021-03-04T01:02:03Z","timestamp":1612310400000}']
-    return spark.createDataFrame(list(enumerate(rows, 1)), "k bigint, j string").select("k", json_date(F.col("j")).cast("string").alias("strict"), json_date(F.col("j"), lenient=True).cast("string").alias("lenient"))
+    """F16 on every readable publication: the dates of its members in all their forms, strict and lenient."""
+    docs = documents_of(read_table(spark, d, "crossref_publication"))
+    each = docs.select("publication_doi", F.explode(F.array(*(F.struct(F.lit(m).alias("member"), F.get_json_object("doc", f"$.{m}").alias("j")) for m in DATE_MEMBERS))).alias("x")).select("publication_doi", "x.*")
+    return each.select("publication_doi", "member", json_date(F.col("j")).cast("string").alias("strict"), json_date(F.col("j"), lenient=True).cast("string").alias("lenient"))
 
 
-@register("SELECT * FROM (VALUES (1, '2020-02-29', '2020-02-29'), (2, '1900-05-07', '1900-05-07'), (3, '2021-04-30', '2021-04-30'), (4, NULL, '1900-01-01'), (5, '2000-01-09', '2000-01-09'), (6, NULL, '2000-03-01'), (7, NULL, NULL)) t(k, plain, lifted)")
+_CLAMPED = "CAST(make_date(greatest(y, 1900), greatest(m, 1), 1) + CAST(CASE WHEN least(d, day(last_day(make_date(greatest(y, 1900), greatest(m, 1), 1)))) >= 1 THEN least(d, day(last_day(make_date(greatest(y, 1900), greatest(m, 1), 1)))) - 1 END AS INTEGER) AS VARCHAR)"
+_PARTS = "SELECT l_orderkey, l_linenumber, CAST(CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE year(l_shipdate) - CASE WHEN l_suppkey % 5 = 0 THEN 150 ELSE 0 END END AS INTEGER) AS y, CAST(CASE WHEN l_suppkey % 11 = 0 THEN NULL ELSE l_partkey % 15 END AS INTEGER) AS m, CAST(l_quantity - 5 AS INTEGER) AS d FROM lineitem"
+
+
+@register(f"WITH p AS ({_PARTS}), c AS (SELECT l_orderkey, l_linenumber, y, m, d FROM p UNION ALL SELECT l_orderkey, -l_linenumber, coalesce(y, 1900), coalesce(m, 1), greatest(coalesce(d, 1), 1) FROM p) SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS line, CASE WHEN y IS NOT NULL AND m IS NOT NULL AND d IS NOT NULL AND m <= 12 THEN {_CLAMPED} END AS dt FROM c")
 def safe_dates(spark: SparkSession, d: str) -> DataFrame:
-    rows = [(1, 2020, 2, 31), (2, 1800, 5, 7), (3, 2021, 4, 31), (4, None, None, None), (5, 2000, 0, 9), (6, 2000, 3, 0), (7, 2000, 13, 1)]
+    """F14, F15 on every order line: years too early, months and days too small or large, parts missing. A negative line is
+    the date with lifted days."""
+    parts = read_table(spark, d, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "cast(if(l_suppkey % 7 = 0, null, year(l_shipdate) - if(l_suppkey % 5 = 0, 150, 0)) as int) as y", "cast(if(l_suppkey % 11 = 0, null, l_partkey % 15) as int) as m", "cast(l_quantity - 5 as int) as d",
+    )
     y, m, day = F.col("y"), F.col("m"), F.col("d")
-    return spark.createDataFrame(rows, "k int, y int, m int, d int").select("k", clamped_date(y, m, day).cast("string").alias("plain"), clamped_date(y, m, day, lift_day=True).cast("string").alias("lifted"))
+    plain = parts.select("l_orderkey", F.col("l_linenumber").cast("bigint").alias("line"), clamped_date(y, m, day).cast("string").alias("dt"))
+    return plain.unionByName(parts.select("l_orderkey", (-F.col("l_linenumber")).cast("bigint").alias("line"), clamped_date(y, m, day, lift_day=True).cast("string").alias("dt")))
 
 
 @register("SELECT doc_id, CASE WHEN lower(text) LIKE '%brenholm%' THEN 'INST_A' WHEN lower(text) LIKE '%academy%' THEN 'INST_B' WHEN lower(text) LIKE '%technical%' THEN 'INST_C' WHEN lower(text) LIKE '%research council%' THEN 'INST_D' ELSE 'OTHER' END AS code FROM documents")
@@ -305,22 +332,33 @@ def hashed_document_vectors(spark: SparkSession, d: str) -> DataFrame:
     return hashed_vectors(read_table(spark, d, "documents"), "doc_id", "text")
 
 
-@register(f"SELECT count(*) AS n, count(author_id) AS with_author, count(affiliation_id) AS with_affiliation FROM (SELECT DISTINCT e.publication_id, e.publication_eid, e.publication_doi, e.publication_title, e.publication_abstract, e.publication_citation_count, e.publication_dt, e.kw, a ->> '$.author_id' AS author_id, a ->> '$.author_initials' AS i, a ->> '$.author_last_name' AS l, a ->> '$.author_first_name' AS f, a ->> '$.author_indexed_name' AS x, a ->> '$.author_sequence' AS s, y ->> '$.id' AS affiliation_id FROM (SELECT e.*, array_to_string(list_filter(list_transform({_items(_clean('publication_keywords'))}, lambda z: z ->> '$.keyword'), lambda z: z IS NOT NULL), ', ') AS kw, {_items(_clean('publication_authors'))} AS al FROM elsevier_publication e WHERE publication_dt BETWEEN DATE '2000-01-01' AND DATE '2014-12-31') e LEFT JOIN LATERAL (SELECT unnest(e.al) AS a) ON true LEFT JOIN LATERAL (SELECT unnest({_items(chr(40) + 'a -> ' + chr(39) + '$.author_affiliation_ids' + chr(39) + chr(41))}) AS y) ON true)")
-def parsed_publications(spark: SparkSession, d: str) -> DataFrame:
-    rows = parse_publications(read_table(spark, d, "elsevier_publication"), "2000-01-01", "2014-12-31")
-    return rows.agg(F.count("*").alias("n"), F.count("author_id").alias("with_author"), F.count("affiliation_id").alias("with_affiliation"))
-
-
 @register(f"SELECT DISTINCT e.publication_id AS article_id, e.publication_eid AS article_eid, e.publication_doi AS article_doi, e.publication_title AS article_title, e.publication_journal AS article_journal, e.publication_type AS article_type, e.publication_abstract AS article_abstract, e.publication_citation_count AS article_citation_count, CAST(e.publication_dt AS VARCHAR) AS article_publication_dt, nullif(e.kw, '') AS article_keywords, a ->> '$.author_id' AS author_id, a ->> '$.author_initials' AS author_initials, a ->> '$.author_last_name' AS author_last_name, a ->> '$.author_first_name' AS author_first_name, a ->> '$.author_indexed_name' AS author_indexed_name, a ->> '$.author_sequence' AS author_sequence, CAST(TRY_CAST(a ->> '$.is_first_author' AS BOOLEAN) AS VARCHAR) AS is_first_author, y ->> '$.id' AS affiliation_id FROM (SELECT e.*, array_to_string(list_filter(list_transform({_items(_clean('publication_keywords'))}, lambda z: z ->> '$.keyword'), lambda z: z IS NOT NULL), ', ') AS kw, {_items(_clean('publication_authors'))} AS al FROM elsevier_publication e WHERE publication_dt IS NOT NULL) e LEFT JOIN LATERAL (SELECT unnest(e.al) AS a) ON true LEFT JOIN LATERAL (SELECT unnest({_items(chr(40) + 'a -> ' + chr(39) + '$.author_affiliation_ids' + chr(39) + chr(41))}) AS y) ON true")
-def parsed_publications_whole(spark: SparkSession, d: str) -> DataFrame:
-    """All rows of all dates; parsed_publications counts those of a part, as its SQL does."""
+def parsed_publications(spark: SparkSession, d: str) -> DataFrame:
+    """All rows of all dates."""
     rows = parse_publications(read_table(spark, d, "elsevier_publication"), "0001-01-01", "9999-12-31")
     return rows.withColumns({c: F.col(c).cast("string") for c in ("article_publication_dt", "is_first_author")})
 
 
-@register()
+def _quoted(key: str) -> str:
+    return f"'$.\"{key}\"'"
+
+
+_LISTS = ", ".join(f"CASE WHEN json_type(d, {_quoted(k)}) = 'ARRAY' THEN list_transform(CAST(d -> {_quoted(k)} AS JSON[]), lambda x: x ->> '$') ELSE [] END AS {c}" for c, k in TITLES.items())
+_PLAIN = ", ".join(f"d ->> {_quoted(k)} AS article_{c}" for c, k in {"url": "URL", "institution": "institution", "publisher": "publisher"}.items())
+_MEMBERS = {"author_given_name": "given", "author_family_name": "family", "author_sequence": "sequence"}
+
+
+@register(
+    f"{_DOCUMENTS}, p AS (SELECT publication_doi AS article_doi, {_PLAIN}, {_LISTS}, d ->> '$.abstract' AS article_abstract, {_sql_date("(d -> '$.indexed')", True)} AS article_indexed_dt, {_sql_date("(d -> '$.published')", True)} AS article_publication_dt, TRY_CAST(d ->> '$.\"is-referenced-by-count\"' AS BIGINT) AS article_referenced_by_count, {_items("(d -> '$.author')")} AS al FROM x_documents), "
+    f"t AS (SELECT * EXCLUDE ({', '.join(TITLES)}), unnest(generate_series(1, greatest({', '.join(f'len({c})' for c in TITLES)}))) AS n, {', '.join(TITLES)} FROM p WHERE coalesce(article_publication_dt, article_indexed_dt) IS NOT NULL), "
+    f"a AS (SELECT t.*, x.a, x.place FROM t LEFT JOIN LATERAL (SELECT unnest(t.al) AS a, generate_subscripts(t.al, 1) AS place) x ON true) "
+    f"SELECT DISTINCT article_doi, article_url, article_institution, article_publisher, {', '.join(f'{c}[n] AS {c}' for c in TITLES)}, article_abstract, CAST(article_indexed_dt AS VARCHAR) AS article_indexed_dt, CAST(article_publication_dt AS VARCHAR) AS article_publication_dt, article_referenced_by_count, "
+    f"{', '.join(f"a ->> '$.{k}' AS {c}" for c, k in _MEMBERS.items())}, CAST(place AS BIGINT) AS author_sequence_index, regexp_replace(a ->> '$.ORCID', '^http://[^/]+/', '') AS author_orcid, y ->> '$.name' AS affiliation_identifier FROM a LEFT JOIN LATERAL (SELECT unnest({_items("(a.a -> '$.affiliation')")}) AS y) ON true",
+)
 def parsed_crossref(spark: SparkSession, d: str) -> DataFrame:
-    return parse_crossref(read_table(spark, d, "crossref_publication"), "1900-01-01", "2100-12-31")
+    """All rows of all dates."""
+    rows = parse_crossref(read_table(spark, d, "crossref_publication"), "0001-01-01", "9999-12-31")
+    return rows.withColumns({c: F.col(c).cast("string") for c in ("article_indexed_dt", "article_publication_dt")} | {c: F.col(c).cast("bigint") for c in ("article_referenced_by_count", "author_sequence_index")})
 
 
 def queries() -> dict:

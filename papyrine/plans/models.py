@@ -153,11 +153,16 @@ def _reference_text() -> Column:
     return F.concat(F.lit("Reference:"), *(F.coalesce(F.concat(F.lit(" "), f"reference_article_{p}"), F.lit("")) for p in parts))
 
 
-def _documents(ctx: Context) -> DataFrame:
-    rows = ctx.table("crossref_publication").select("publication_doi", "row_created_at", readable(F.col("publication_metadata")).alias("doc"))
+def documents_of(publications: DataFrame) -> DataFrame:
+    """(publication_doi, row_created_at, doc) of the readable publications, without their wrapper."""
+    rows = publications.select("publication_doi", "row_created_at", readable(F.col("publication_metadata")).alias("doc"))
     return rows.where("doc is not null").select("publication_doi", "row_created_at", wrapped(F.col("doc"), "message").alias("doc"))
 
 
+def _documents(ctx: Context) -> DataFrame:
+    return documents_of(ctx.table("crossref_publication"))
+
+
 @model("staging")
 def stg_crossref_publication_reference(ctx: Context) -> DataFrame:
     return _references(_documents(ctx), F.col("doc"), "publication_doi", "row_created_at")
