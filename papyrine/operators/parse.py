@@ -84,14 +84,16 @@ def parse_member_works(raw: DataFrame, year: int) -> DataFrame:
 
 
 def path_value(record: object, path: str, default: object = None) -> object:
-    """The value at a dotted path of a nested dictionary; a value that is no dictionary on the way is returned as it is."""
-    for key in path.split("."):
-        if not isinstance(record, dict):
-            return record
-        if key not in record:
-            return default
-        record = record[key]
-    return record
+    """The value at a dotted path of a nested dictionary. The default where a member on the way is absent or null; a value
+    that is no dictionary on the way is returned as it is. A null at the path's end is null."""
+    head, _, rest = path.partition(".")
+    if record is None:
+        return default
+    if not isinstance(record, dict):
+        return record
+    if head not in record:
+        return default
+    return path_value(record[head], rest, default) if rest else record[head]
 
 
 def as_list(value: object) -> list:
@@ -109,20 +111,39 @@ def record_authors(record: dict) -> list[dict]:
         sequence = a.get("@seq")
         found.append({
             "author_id": a.get("@auid"), "author_first_name": a.get("ce:given-name"), "author_last_name": a.get("ce:surname"), "author_indexed_name": a.get("ce:indexed-name"), "author_initials": a.get("ce:initials"),
-            "author_sequence": str(at if sequence is None else sequence), "is_first_author": sequence == "1" or (sequence is None and at == 0), "author_affiliation_ids": [{"id": f.get("@id")} for f in as_list(a.get("affiliation")) if isinstance(f, dict)],
+            "author_sequence": str(sequence or at), "is_first_author": sequence == "1" or (sequence is None and at == 0), "author_affiliation_ids": [{"id": f.get("@id")} for f in as_list(a.get("affiliation")) if isinstance(f, dict)],
         })
     return found
 
 
 def record_references(record: dict) -> list[dict]:
-    """A reference's id and title; without a title its raw text."""
+    """A reference's id and title; without a title its text."""
     out = []
     for r in as_list(path_value(record, "item.bibrecord.tail.bibliography.reference")):
         title = path_value(r, "ref-info.ref-title.ref-titletext")
-        out.append({"reference_id": path_value(r, "@id"), "reference_title": title if isinstance(title, str) else path_value(r, "ref-fulltext")})
+        out.append({"reference_id": path_value(r, "@id"), "reference_title": path_value(r, "ref-info.ref-text") if title is None else title})
     return out
 
 
+def record_affiliations(record: dict) -> list[dict]:
+    """The affiliations of a record: id, name, city and country."""
+    members = {"affiliation_id": "@id", "affiliation_name": "affilname", "affiliation_city": "affiliation-city", "affiliation_country": "affiliation-country"}
+    return [{name: a.get(key) for name, key in members.items()} for a in as_list(path_value(record, "affiliation")) if isinstance(a, dict)]
+
+
+def parse_affiliations(raw: DataFrame) -> DataFrame:
+    """(publication_id, publication_eid, publication_doi, publication_affiliation_id, publication_affiliations) of the
+    document store's records (scopus_id, record as JSON text), one row for each affiliation, in the JVM. Unreadable records
+    and affiliations without an id give none; repeated ones count once."""
+    a = F.col("a")
+    rows = raw.select(F.col("scopus_id").alias("publication_id"), readable(F.col("record")).alias("r")).where("r is not null")
+    at = lambda path: F.get_json_object("r", path)
+    rows = rows.select("publication_id", at("$.coredata.eid").alias("publication_eid"), at("$.coredata['prism:doi']").alias("publication_doi"), F.explode(json_items(at("$.affiliation"))).alias("a"))
+    item = F.struct(json_text(a, "affilname").alias("affiliation_name"), json_text(a, "affiliation-city").alias("affiliation_city"), json_text(a, "affiliation-country").alias("affiliation_country"))
+    rows = rows.select("publication_id", "publication_eid", "publication_doi", json_text(a, "@id").alias("publication_affiliation_id"), F.to_json(F.array(item)).alias("publication_affiliations"))
+    return rows.where("publication_affiliation_id is not null").distinct()
+
+
 def parse_store_records(raw: DataFrame) -> DataFrame:
     """Publications of the document store (scopus_id, record as JSON text) as rows with JSON lists of authors, keywords
     and references. Unreadable records are left out."""

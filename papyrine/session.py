@@ -14,6 +14,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -33,13 +34,15 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a reliable checkpoint.
 
-    The folder is the one that the cluster names in spark.checkpoint.dir. Only where that is unset (as in tests, on one
-    machine) a temporary folder is used.
+    The folder is the one that the cluster names in spark.checkpoint.dir. Only where that is unset and the session runs on
+    one machine, as in tests, a temporary folder is used; elsewhere it is an error.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="papyrine-checkpoint-"))
     return df.checkpoint(eager=True)
 

@@ -44,13 +44,19 @@ class RateLimiter:
         self.calls.append(now)
 
 
-def with_retries(call: Callable[[], object], tries: int = 8, first_wait: float = 0.5, sleep: Callable[[float], None] = time.sleep) -> object:
-    """call() with exponential backoff and jitter; the last failure is raised."""
+def final(error: Exception) -> bool:
+    """Whether trying again is of no use: the error carries an HTTP status (its own or its response's) under 500."""
+    status = getattr(error, "status", None) or getattr(getattr(error, "response", None), "status_code", None) or getattr(error, "code", None)
+    return isinstance(status, int) and status < 500
+
+
+def with_retries(call: Callable[[], object], tries: int = 8, first_wait: float = 0.5, sleep: Callable[[float], None] = time.sleep, gives_up: Callable[[Exception], bool] = final) -> object:
+    """call() with exponential backoff and jitter; the last failure, or one that gives_up tells is final, is raised."""
     for k in range(tries):
         try:
             return call()
-        except Exception:
-            if k == tries - 1:
+        except Exception as error:
+            if k == tries - 1 or gives_up(error):
                 raise
             sleep(first_wait * 2**k * (1 + random.random()))
     return None
@@ -58,10 +64,16 @@ def with_retries(call: Callable[[], object], tries: int = 8, first_wait: float =
 
 def fetch_each(keys: DataFrame, key: str, fetch: Callable[[str], str | None], tries: int = 8, per_second: int | None = None) -> DataFrame:
     """(key, document, error) of fetch(key) for each distinct non-null key, run by the tasks. A key whose fetch
-    keeps failing has a null document and the error's text. fetch is the seam: a network call, or a lookup in tests."""
+    keeps failing has a null document and the error's text. fetch is the seam: a network call, or a lookup in tests.
+    per_second (ST4) holds for all tasks together: there are no more tasks than that, and each has its share of the calls."""
+    rows = keys.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("k")).distinct()
+    share = None
+    if per_second:
+        tasks = max(1, min(per_second, keys.sparkSession.sparkContext.defaultParallelism))
+        rows, share = rows.repartition(tasks, "k"), per_second // tasks
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        limiter = RateLimiter(per_second) if per_second else None
+        limiter = RateLimiter(share) if share else None
         for batch in batches:
             rows = []
             for k in batch["k"]:
@@ -73,8 +85,37 @@ def fetch_each(keys: DataFrame, key: str, fetch: Callable[[str], str | None], tr
                     rows.append((k, None, f"{type(e).__name__}: {e}"[:500]))
             yield pd.DataFrame(rows, columns=["k", "document", "error"])
 
-    out = keys.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("k")).distinct().mapInPandas(run, "k string, document string, error string")
-    return out.withColumnRenamed("k", key)
+    return rows.mapInPandas(run, "k string, document string, error string").withColumnRenamed("k", key)
+
+
+def access_token(post: Callable[[dict[str, str]], dict], client_id: str, client_secret: str) -> str:
+    """The token that a server gives for client credentials. post sends the form and returns the answer's object; an
+    answer without a token is an error."""
+    answer = post({"client_id": client_id, "client_secret": client_secret, "grant_type": "client_credentials", "scope": "/read-public"})
+    if not answer.get("access_token"):
+        raise PermissionError(f"no token: {answer.get('error', 'empty answer')}")
+    return answer["access_token"]
+
+
+def member_documents(members: DataFrame, part: str, fetch: Callable[[str], str | None], per_second: int = 12) -> DataFrame:
+    """(member_id, member_<part>, error) for members (member_id): their works, person or employments. fetch gets the path
+    below the service's root, <member>/<part>. Of works the list of groups is kept, of employments that of affiliation groups."""
+    inside = {"works": "$.group", "employments": "$['affiliation-group']"}
+    paths = members.where("member_id is not null").select(F.concat_ws("/", "member_id", F.lit(part)).alias("path"))
+    got = fetch_each(paths, "path", fetch, per_second=per_second)
+    document = F.get_json_object("document", inside[part]) if part in inside else F.col("document")
+    return got.select(F.substring_index("path", "/", 1).alias("member_id"), document.alias(f"member_{part}"), "error")
+
+
+def yearly_counts(keywords: DataFrame, keyword: str, fetch: Callable[[str], str | None], first: int, last: int, per_second: int | None = None) -> DataFrame:
+    """(keyword, year, publication_count) of each distinct keyword and year from first to last. fetch gets "year keyword"
+    and returns the answer, whose total of hits counts; keys that fail have a null count."""
+    words = keywords.where(F.col(keyword).isNotNull()).select(F.col(keyword).alias("w")).distinct()
+    years = keywords.sparkSession.range(first, last + 1).select(F.col("id").cast("string").alias("y"))
+    keys = words.crossJoin(F.broadcast(years)).select(F.concat_ws(" ", "y", "w").alias("key"))  # a row a year
+    got = fetch_each(keys, "key", fetch, per_second=per_second)
+    total = F.get_json_object("document", "$.message['total-results']").try_cast("int")
+    return got.select(F.expr("substring(key, 6)").alias(keyword), F.substring("key", 1, 4).cast("int").alias("year"), total.alias("publication_count"))
 
 
 def page_starts(spark: SparkSession, found: int, page: int) -> DataFrame:

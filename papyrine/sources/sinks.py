@@ -4,6 +4,7 @@ of Parquet files."""
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -75,6 +76,22 @@ def is_done(spark, path: str) -> bool:
     return system.exists(target)
 
 
+def append_in_parts(keys: DataFrame, key: str, step: Callable[[DataFrame], DataFrame], path: str, size: int) -> int:
+    """K7: step(keys) is appended to the table `path` for `size` keys at a time, so that an interrupted run keeps what it has:
+    keys that the table holds are not taken again. step gives at least one row for each key, with the key. Returns the number
+    of parts written. Only a part's keys are in flight; the driver sees counts."""
+    spark = keys.sparkSession
+    distinct = keys.where(F.col(key).isNotNull()).select(key).distinct()
+    parts = 0
+    while True:
+        rest = unprocessed(distinct, spark.read.parquet(path), key) if is_done(spark, path) else distinct
+        part = rest.orderBy(key).limit(size)
+        if part.isEmpty():
+            return parts
+        append(step(part), path)
+        parts += 1
+
+
 def unprocessed(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """The rows whose key isn't done yet."""
     return rows.join(done.select(key).distinct(), key, "left_anti")
