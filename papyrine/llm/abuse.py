@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrine.llm.features import Ftrl, Sparse, char_ngrams, plain, sentences, word_ngrams
+from papyrine.llm.features import COMBINING, Ftrl, Sparse, char_ngrams, plain, sentences, word_ngrams
 from papyrine.session import bounded_sample, read_table
 
 BITS = 18
@@ -30,8 +30,10 @@ FOLDS, EPOCHS, BATCH = 4, 8, 32
 _NOTHING = dict.fromkeys([0xAD, 0x34F, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
 #: Letters of other scripts and digits or signs that stand for Latin letters.
 _LOOKALIKE = str.maketrans("аеорсухіјѕԁһοανρικτвкмнт", "aeopcyxijsdhoavpiktbkmht")
+_LETTERS = {**COMBINING, **_LOOKALIKE, **_NOTHING}
 _SIGNS = str.maketrans("013457@$!", "oieastasi")
 _MIXED = re.compile(r"(?<![\w@$])(?=[\w@$!]*[a-z])(?=[\w@$!]*[\d@$!])[\w@$!]*[\w@$]")
+_SIGN = re.compile(r"[\d@$!]")
 _SPACED = re.compile(r"(?<!\w)(?:\w[ .\-_*]){3,}\w(?!\w)")
 _REPEATED = re.compile(r"([a-z])\1{2,}")
 _CLAUSE = re.compile(r";\s+|\s+[-–—]\s+|,\s+and\s+")
@@ -43,10 +45,10 @@ def normal_words(sentence: str) -> list[str]:
     repeated letters are undone. Numbers are left out; a word with masked letters keeps its asterisks."""
     s = sentence.lower()
     if not s.isascii():
-        s = unicodedata.normalize("NFKD", s).translate(_NOTHING).lower().translate(_LOOKALIKE)
-        s = "".join(c for c in s if not unicodedata.combining(c))
+        s = unicodedata.normalize("NFKD", s).lower().translate(_LETTERS)
     s = _SPACED.sub(lambda m: re.sub(r"[ .\-_*]", "", m[0]), s)
-    s = _MIXED.sub(lambda m: m[0].translate(_SIGNS) if len(m[0]) > 2 and sum(c.isalpha() for c in m[0]) * 2 >= len(m[0]) - 1 and not m[0][-1].isdigit() else m[0], s)
+    if _SIGN.search(s):
+        s = _MIXED.sub(lambda m: m[0].translate(_SIGNS) if len(m[0]) > 2 and sum(c.isalpha() for c in m[0]) * 2 >= len(m[0]) - 1 and not m[0][-1].isdigit() else m[0], s)
     s = _REPEATED.sub(r"\1", s)
     return _WORDS.findall(s)
 

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import html
 import re
+import unicodedata
 import zlib
 
 import numpy as np
 
 _TAG = re.compile(r"</?[A-Za-z][^<>]*>")
+#: Accents and other marks that combine with the letter before them, for str.translate.
+COMBINING = dict.fromkeys(c for c in range(0x300, 0x110000) if unicodedata.combining(chr(c)))
 _SENTENCE_END = re.compile(r"(?<=[.!?。？！])[\"'”’)\]]?\s+|\n+")
 
 

@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from papyrine.llm.features import COMBINING
 from papyrine.session import read_table
 
 SEED, LEAST_WORDS, WORDS_PER_ERROR = 6, 18, 10
@@ -41,6 +42,7 @@ _JOIN = re.compile(r"(?<=[^\W_])[-‐‑'’.,:/](?=[^\W_])")
 #: Characters that take no place, and letters of other scripts that look like Latin ones.
 _NOTHING = dict.fromkeys([0xAD, 0x34F, 0x200B, 0x200C, 0x200D, 0x200E, 0x200F, 0x2060, 0xFEFF])
 _LOOKALIKE = str.maketrans("аеорсухіјѕԁһɡıοανρικτвкмнт", "aeopcyxijsdhgioavpiktbkmht")
+_LETTERS = {**COMBINING, **_LOOKALIKE, **_NOTHING}
 
 
 def words(text: str | None) -> list[str]:
@@ -58,8 +60,7 @@ def words(text: str | None) -> list[str]:
     if "\n" in text:
         text = _BREAK.sub("", text)
     if not text.isascii():
-        text = unicodedata.normalize("NFKD", text).translate(_NOTHING).casefold().translate(_LOOKALIKE)
-        text = "".join(c for c in text if not unicodedata.combining(c))
+        text = unicodedata.normalize("NFKD", text).casefold().translate(_LETTERS)
     return _WORD.findall(_JOIN.sub("", text.lower()))
 
 
