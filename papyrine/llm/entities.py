@@ -8,6 +8,7 @@ through joins until the beliefs settle; the result is every pair's marginal prob
 
 from __future__ import annotations
 
+import itertools
 import math
 import warnings
 from collections.abc import Iterator
@@ -65,23 +66,56 @@ def keyed(rows: DataFrame, owner: str, keys: dict[str, Column]) -> DataFrame:
     return rows.select(owner, each.alias("keys")).distinct().select(owner, F.explode(F.array_compact("keys")).alias("key")).distinct()
 
 
-def without_a_letter(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(place in texts, hash) of each text as it is and with each one of its letters left out."""
+def without_two_parts(texts: list[str], asked: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(place in texts, hash) of each text without two of its PARTS parts, for every two.
+
+    A part reaches one letter over its ends, so a letter left out of each of two texts leaves all outside of some two parts
+    alike. Texts that are asked for give the hashes that such a partner would have: of their length, with all in its place
+    or what stands between the two parts moved by one, or of one letter more or less with both errors in neighbouring parts.
+    """
     sizes = np.array([len(x) for x in texts], np.int64)
-    letters = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    letters = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     starts = np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    powers = np.ones(int(sizes.max(initial=0)) + 1, np.uint64)
-    np.multiply.accumulate(np.full(len(powers) - 1, _BASE, np.uint64), out=powers[1:])
-    # a text's hash is a polynomial modulo 2 ** 64; letters behind the one left out move by one power
-    terms = (letters + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) * powers[np.arange(len(letters)) - starts[owner]]
-    upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
-    before = upto[:-1] - upto[starts[owner]]
-    behind = upto[(starts + sizes)[owner]] - upto[1:]
-    hashes = np.concatenate([upto[starts + sizes] - upto[starts], before + behind * np.uint64(pow(_BASE, -1, 1 << 64))])
-    return np.concatenate([np.arange(len(texts)), owner]), (hashes ^ hashes >> np.uint64(29)).view(np.int64)
-
-
+    place = np.arange(len(letters)) - np.repeat(starts, sizes)
+    longest = int(sizes.max(initial=0)) + 1
+    powers, back = np.ones(longest, np.uint64), np.ones(longest, np.uint64)
+    for own, base in ((powers, _BASE), (back, pow(_BASE, -1, 1 << 64))):
+        np.multiply.accumulate(np.full(longest - 1, base, np.uint64), out=own[1:])
+    # the hash of a stretch is a polynomial of its letters modulo 2 ** 64
+    upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum((letters + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) * powers[place])])
+    owners, hashes = [], []
+    for i, j in itertools.combinations(range(PARTS), 2):
+        moves = [(0, 0)] if not asked else [(0, t) for t in (-1, 0, 1)] if j == i + 1 else [(-1, 0), (1, 0)]
+        for shift, more in moves:
+            n = sizes - more  # the partner's letters
+            left = np.maximum(0, i * n // PARTS - 1)
+            middle, until = (i + 1) * n // PARTS + 1, j * n // PARTS - 1
+            right = np.maximum(0, n - (j + 1) * n // PARTS - 1)
+            until = np.maximum(middle, until)
+            at = np.flatnonzero((n > 0) & (left + right <= sizes) & ((until == middle) | (until + shift <= sizes)))
+            begin, end = starts[at], starts[at] + sizes[at]
+            a, b = np.minimum(middle[at] + shift, sizes[at]), np.minimum(until[at] + shift, sizes[at])
+            value = (upto[begin + left[at]] - upto[begin]) * np.uint64(0xBF58476D1CE4E5B9)
+            value += (upto[begin + b] - upto[begin + a]) * back[a] * np.uint64(0x94D049BB133111EB)
+            value += (upto[end] - upto[end - right[at]]) * back[sizes[at] - right[at]]
+            value += (n[at].astype(np.uint64) * np.uint64(PARTS * PARTS) + np.uint64(i * PARTS + j)) * np.uint64(0xD6E8FEB86659FD93)
+            owners.append(at)
+            hashes.append((value ^ value >> np.uint64(29)).view(np.int64))
+    return np.concatenate(owners), np.concatenate(hashes)
+
+
+def alike_without_a_letter(a: str, b: str) -> bool:
+    """Whether two different texts are equal after a letter is left out of one or of each."""
+    if len(a) > len(b):
+        a, b = b, a
+    p = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), len(a))
+    q = next((i for i, (x, y) in enumerate(zip(a[p:][::-1], b[p:][::-1], strict=False)) if x != y), len(a) - p)
+    x, y = a[p : len(a) - q], b[p : len(b) - q]
+    return (len(x), len(y)) == (0, 1) or (len(x) == len(y) and (x[1:] == y[:-1] or x[:-1] == y[1:]))
+
+
+#: Into how many parts a title is cut to find those with one error.
+PARTS = 5
 _BASE = 0xD6E8FEB86659FD93
 
 
@@ -95,17 +129,25 @@ def near_titles(mine: DataFrame, theirs: DataFrame) -> DataFrame:
     """(key, near): keys of different titles (key, text) of both sides that are equal after a letter is left out of one or of
     each, so all pairs with one letter changed, added or left out. Titles with different numbers name different works."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parts(rows: DataFrame, name: str, asked: bool) -> DataFrame:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if len(batch):
+                    place, hashes = without_two_parts(batch["text"].tolist(), asked)
+                    yield pd.DataFrame({name: batch["key"].to_numpy()[place], "h": hashes})
+
+        return rows.mapInPandas(run, f"{name} long, h long")
+
+    def alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            place, hashes = without_a_letter(batch["text"].tolist())
-            yield pd.DataFrame({"own": batch["key"].to_numpy()[place], "h": hashes})
+            good = [alike_without_a_letter(a, b) for a, b in zip(batch["text"], batch["other"], strict=True)]
+            yield batch.loc[np.array(good, bool), ["key", "near"]]
 
-    left = mine.mapInPandas(run, "own long, h long").withColumnRenamed("own", "key")
-    right = theirs.mapInPandas(run, "own long, h long").withColumnRenamed("own", "near")
-    both = left.join(right, "h").where("key <> near").select("key", "near").distinct()
+    both = parts(mine, "key", True).join(parts(theirs, "near", False), "h").where("key <> near").select("key", "near").distinct()
     both = both.join(mine, "key").join(theirs.select(F.col("key").alias("near"), F.col("text").alias("other")), "near")
     numbers = lambda text: F.regexp_replace(text, r"\P{N}+", " ")
-    return both.where((F.levenshtein("text", "other", 2) >= 0) & (numbers("text") == numbers("other"))).select("key", "near")
+    both = both.where((F.levenshtein("text", "other", 2) >= 0) & (numbers("text") == numbers("other")))
+    return both.select("key", "near", "text", "other").mapInPandas(alike, "key long, near long")
 
 
 def meet(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

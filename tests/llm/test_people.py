@@ -1,11 +1,13 @@
 import itertools
 import json
+import random
 
 import numpy as np
 import pytest
 
 from papyrine.llm import names
 from papyrine.llm.entities import SHARED_KEY, doi_key, matches, near_titles, orcid_key, propagate, shared_works, title_key, titles_of, with_prior
+from papyrine.llm.entities import alike_without_a_letter, without_two_parts
 from papyrine.llm.names import cluster, form, join_shard, link, nickname, one_edit, similarity, spellings, weights
 
 
@@ -226,3 +228,22 @@ def test_many_hopeless_pairs_weigh_together(spark):
         with pytest.MonkeyPatch.context() as patch:
             patch.setattr("papyrine.llm.entities.ROUNDS", 1)
             propagate(spark.createDataFrame(rows, "member_id string, author_id string, prior double"))
+
+
+def test_parts_left_out_find_every_pair():
+    rnd = random.Random(3)
+    for _ in range(300):
+        whole = "".join(rnd.choice("abcdé") for _ in range(rnd.randrange(12, 40)))
+        i, j = rnd.randrange(len(whole)), rnd.randrange(len(whole) + 1)
+        one = rnd.choice([whole, whole[:i] + whole[i + 1 :], whole[:i] + rnd.choice("xyz") + whole[i:], whole[:i] + "z" + whole[i + 1 :]])
+        # a letter left out of each of two texts makes them equal
+        other = one[:i] + one[i + 1 :] if rnd.random() < 0.4 else (one[:i] + one[i + 1 :])[: min(j, len(one) - 1)] + rnd.choice("abxy") + (one[:i] + one[i + 1 :])[min(j, len(one) - 1) :]
+        if one == other or min(len(one), len(other)) < 12:
+            continue
+        assert alike_without_a_letter(one, other) and alike_without_a_letter(other, one)
+        for a, b in ((one, other), (other, one)):
+            asked, there = (set(without_two_parts([x], y)[1].tolist()) for x, y in ((a, True), (b, False)))
+            assert asked & there, (a, b)
+    assert not alike_without_a_letter("abcdefgh", "axcdexgh") and not alike_without_a_letter("abcdefgh", "abcdef")
+    place, hashes = without_two_parts(["", "abcdefghijklmn", ""], True)
+    assert set(place.tolist()) <= {0, 1, 2} and len(place) == len(hashes)
