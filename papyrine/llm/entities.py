@@ -172,27 +172,32 @@ def with_prior(pairs: DataFrame) -> DataFrame:
     """pairs (member_id, author_id, works, share, member_names, author_names) with their prior log odds."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, tuple[list[str], set[str]]] = {}
+        known: dict[tuple[str, ...], tuple[list[tuple[list[str], set[str]]], set[str]]] = {}
 
-        def parts(name: str) -> tuple[list[str], set[str]]:
-            """A name's parts, and these with and (if so long that a typing error counts) without each letter: names that
-            agree in a surname share one of these."""
-            if name not in known:
-                if len(known) > 50_000:
+        def forms(names: tuple[str, ...]) -> tuple[list[tuple[list[str], set[str]]], set[str]]:
+            """Of each name the parts, and these with and (if so long that a typing error counts) without each letter: names
+            that agree in a surname share one of these. And what all of them have."""
+            if names not in known:
+                if len(known) > 30_000:
                     known.clear()
-                own = form(name).split(" ")
-                each = [x for t in own for x in t.split("-") if len(x) > 1]
-                known[name] = own, {*each, *(x[:i] + x[i + 1 :] for x in each if len(x) > 3 for i in range(len(x)))}
-            return known[name]
+                each = []
+                for name in names:
+                    own = form(name).split(" ")
+                    long = [x for t in own for x in t.split("-") if len(x) > 1]
+                    each.append((own, {*long, *(x[:i] + x[i + 1 :] for x in long if len(x) > 3 for i in range(len(x)))}))
+                known[names] = each, set().union(*(keys for _, keys in each))
+            return known[names]
 
         for batch in batches:
             odds = []
             for works, share, mine, theirs in zip(batch["works"], batch["share"], batch["member_names"], batch["author_names"], strict=True):
-                a, b = ([parts(x) for x in own] if own is not None else [] for own in (mine, theirs))
-                if not a or not b:
+                if mine is None or theirs is None or not len(mine) or not len(theirs):
                     value = UNKNOWN_NAME
                 else:
-                    best = max((similarity(*sorted((x, y)), _NO_COUNTS)[0] for x, p in a for y, q in b if not p.isdisjoint(q)), default=0)
+                    (a, p), (b, q) = forms(tuple(mine)), forms(tuple(theirs))
+                    best = 0.0
+                    if not p.isdisjoint(q):
+                        best = max((similarity(*sorted((x, y)), _NO_COUNTS)[0] for x, u in a for y, v in b if not u.isdisjoint(v)), default=0.0)
                     value = NAME + FULL_NAME * best if best > 0 else NO_NAME
                 odds.append(value + WORK * math.log1p(works / 2) + SHARE * (share - 0.5))
             yield pd.DataFrame({"member_id": batch["member_id"], "author_id": batch["author_id"], "prior": odds})
@@ -267,21 +272,26 @@ def matches(works: DataFrame, persons: DataFrame, crossref: DataFrame, elsevier:
     author or article id link nothing. Repeated rows count once.
     """
     crossref = crossref.select(orcid_key(F.col("author_orcid")).alias("member_id"), "article_doi", F.concat_ws(" ", "author_given_name", "author_family_name").alias("name")).where("member_id is not null").distinct()
-    own_works = works.where("member_id is not null")
-    keys = keyed(own_works, "member_id", {"doi": doi_key(F.col("article_doi")), "eid": F.col("article_eid"), "title": title_key(F.col("article_title")), "short": short_title_key(F.col("article_title"))})
-    keys = keys.unionByName(keyed(crossref.join(own_works.select("member_id").distinct(), "member_id", "left_semi"), "member_id", {"doi": doi_key(F.col("article_doi"))})).distinct()
+    # what several steps read is kept: identifiers and titles, not whole rows
+    named = ["article_doi", "article_eid", "article_title"]
+    own_works = checkpointed(works.where("member_id is not null").select("member_id", *named).distinct())
+    columns = {"doi": doi_key(F.col("article_doi")), "eid": F.col("article_eid"), "title": title_key(F.col("article_title")), "short": short_title_key(F.col("article_title"))}
+    keys = keyed(own_works, "member_id", columns)
+    keys = keys.unionByName(keyed(crossref.join(own_works.select("member_id").distinct(), "member_id", "left_semi"), "member_id", {"doi": columns["doi"]})).distinct()
     slim = elsevier.where("article_id is not null and author_id is not null")
-    articles = keyed(slim, "article_id", {"doi": doi_key(F.col("article_doi")), "eid": F.col("article_eid"), "title": title_key(F.col("article_title")), "short": short_title_key(F.col("article_title"))})
-    near = near_titles(titles_of(own_works), titles_of(slim))
-    keys = keys.unionByName(keys.join(near, "key").select("member_id", F.col("near").alias("key"))).distinct()
+    titled = checkpointed(slim.select("article_id", *named).distinct())
+    articles = checkpointed(keyed(titled, "article_id", columns))
+    keys = checkpointed(keys)
+    near = near_titles(titles_of(own_works), titles_of(titled))
+    keys = checkpointed(keys.unionByName(keys.join(near, "key").select("member_id", F.col("near").alias("key"))).distinct())
     met = checkpointed(shared_works(keys, articles))
     totals = met.groupBy("member_id").agg(F.sum("weight").alias("total"))
     authors = slim.select("article_id", "author_id").distinct()
     pairs = met.join(authors, "article_id").groupBy("member_id", "author_id").agg(F.sum("weight").alias("works"))
     pairs = pairs.join(totals, "member_id").select("member_id", "author_id", "works", (F.col("works") / F.col("total")).alias("share"))
     shredded = shred(persons, "member_id", "member_person", "row_created_at", {"given": "name.given-names.value", "family": "name.family-name.value"})
-    named = shredded.select("member_id", F.concat_ws(" ", F.get("given_val", F.lit(0)), F.get("family_val", F.lit(0))).alias("name"))
-    member_names = named.unionByName(crossref.select("member_id", "name")).where("trim(name) <> ''").distinct().groupBy("member_id").agg(F.collect_set("name").alias("member_names"))
+    persons_named = shredded.select("member_id", F.concat_ws(" ", F.get("given_val", F.lit(0)), F.get("family_val", F.lit(0))).alias("name"))
+    member_names = persons_named.unionByName(crossref.select("member_id", "name")).where("trim(name) <> ''").distinct().groupBy("member_id").agg(F.collect_set("name").alias("member_names"))
     full = F.concat_ws(" ", "author_first_name", "author_last_name")
     spelled = slim.select("author_id", F.explode(F.array("author_indexed_name", full)).alias("name")).where("trim(name) <> ''").distinct()
     author_names = spelled.groupBy("author_id").agg(F.collect_set("name").alias("author_names"))
