@@ -169,20 +169,20 @@ def shared_works(works: DataFrame, articles: DataFrame) -> DataFrame:
 
 
 def with_prior(pairs: DataFrame) -> DataFrame:
-    """pairs (member_id, author_id, works, share, member_names, author_names) with their prior log odds."""
+    """pairs (member_id, author_id, works, share, member_names, author_names; names as forms) with their prior log odds."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[tuple[str, ...], tuple[list[tuple[list[str], set[str]]], set[str]]] = {}
 
         def forms(names: tuple[str, ...]) -> tuple[list[tuple[list[str], set[str]]], set[str]]:
-            """Of each name the parts, and these with and (if so long that a typing error counts) without each letter: names
+            """Of each form the parts, and these with and (if so long that a typing error counts) without each letter: names
             that agree in a surname share one of these. And what all of them have."""
             if names not in known:
                 if len(known) > 30_000:
                     known.clear()
                 each = []
                 for name in names:
-                    own = form(name).split(" ")
+                    own = name.split(" ")
                     long = [x for t in own for x in t.split("-") if len(x) > 1]
                     each.append((own, {*long, *(x[:i] + x[i + 1 :] for x in long if len(x) > 3 for i in range(len(x)))}))
                 known[names] = each, set().union(*(keys for _, keys in each))
@@ -205,6 +205,16 @@ def with_prior(pairs: DataFrame) -> DataFrame:
     return pairs.mapInPandas(run, "member_id string, author_id string, prior double")
 
 
+def formed(rows: DataFrame, key: str) -> DataFrame:
+    """(key, form): the different forms of the names of rows (key, name) that have a letter."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({key: batch[key], "form": [form(x) for x in batch["name"]]})
+
+    return rows.where("trim(name) <> ''").select(key, "name").distinct().mapInPandas(run, f"{key} string, form string").where("form <> ''").distinct()
+
+
 class _Longest:
     """Stands for the counts of parts where there are none: the longer a part, the rarer."""
 
@@ -291,10 +301,10 @@ def matches(works: DataFrame, persons: DataFrame, crossref: DataFrame, elsevier:
     pairs = pairs.join(totals, "member_id").select("member_id", "author_id", "works", (F.col("works") / F.col("total")).alias("share"))
     shredded = shred(persons, "member_id", "member_person", "row_created_at", {"given": "name.given-names.value", "family": "name.family-name.value"})
     persons_named = shredded.select("member_id", F.concat_ws(" ", F.get("given_val", F.lit(0)), F.get("family_val", F.lit(0))).alias("name"))
-    member_names = persons_named.unionByName(crossref.select("member_id", "name")).where("trim(name) <> ''").distinct().groupBy("member_id").agg(F.collect_set("name").alias("member_names"))
+    member_names = formed(persons_named.unionByName(crossref.select("member_id", "name")), "member_id").groupBy("member_id").agg(F.collect_set("form").alias("member_names"))
     full = F.concat_ws(" ", "author_first_name", "author_last_name")
-    spelled = slim.select("author_id", F.explode(F.array("author_indexed_name", full)).alias("name")).where("trim(name) <> ''").distinct()
-    author_names = spelled.groupBy("author_id").agg(F.collect_set("name").alias("author_names"))
+    spelled = slim.select("author_id", F.explode(F.array("author_indexed_name", full)).alias("name"))
+    author_names = formed(spelled, "author_id").groupBy("author_id").agg(F.collect_set("form").alias("author_names"))
     candidates = pairs.join(member_names, "member_id", "left").join(author_names, "author_id", "left")
     return propagate(with_prior(candidates))
 

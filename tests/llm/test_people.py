@@ -214,7 +214,8 @@ def test_clusters_against_plain_average_linkage():
 
 
 def test_prior_of_a_surname_with_a_typing_error(spark):
-    rows = [("m1", "a1", 1.0, 1.0, ["Ana Novak"], ["Nowak A."]), ("m1", "a2", 1.0, 1.0, ["Ana Novak"], ["Zorkmark A."]), ("m1", "a3", 1.0, 1.0, None, ["Nowak A."]), ("m1", "a4", 500.0, 1.0, ["Ana Novak"], ["Ana Novak"])]
+    ana = [form("Ana Novak")]
+    rows = [("m1", "a1", 1.0, 1.0, ana, [form("Nowak A.")]), ("m1", "a2", 1.0, 1.0, ana, [form("Zorkmark A.")]), ("m1", "a3", 1.0, 1.0, None, [form("Nowak A.")]), ("m1", "a4", 500.0, 1.0, ana, ana)]
     got = {r.author_id: r.prior for r in with_prior(spark.createDataFrame(rows, "member_id string, author_id string, works double, share double, member_names array<string>, author_names array<string>")).collect()}
     assert got["a2"] < got["a3"] < 0 < got["a1"] < got["a4"]  # an error in the middle of the surname; more works always count
 
