@@ -35,11 +35,11 @@ LANGUAGES = list(NAMES)
 BITS, LENGTHS = 16, (1, 2, 3)
 #: The sum of each row's TF-IDF weights.
 SCALE = 30
-#: The most labelled texts the model is trained on (those with the least key hashes, as many as possible of each label).
+#: The most labelled texts the model is trained on (different ones, those with the least hashes, as many as possible of each label).
 SAMPLE_TEXTS = 3200
-#: The most sentences of a language a model is trained on, the learner's rate, and the shares of wrong labels that the
-#: temperature is fitted with.
-SENTENCES, ALPHA, NOISE = 1500, 0.1, (0.01, 0.03, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6)
+#: The most sentences of a language a model is trained on, the learner's rate, and the rounds in which the shares of wrong
+#: labels are fitted.
+SENTENCES, ALPHA, NOISE_ROUNDS = 1500, 0.1, 6
 #: A sentence has so many words at least, and counts for its language from this confidence on.
 LEAST_WORDS, CONFIDENCE = 4, 0.7
 _BRACKETS = re.compile(r"\([^()]*\)|\[[^\[\]]*\]|\{[^{}]*\}")
@@ -112,20 +112,23 @@ def _learn(rows: Sparse, y: np.ndarray, epochs: int = 4, batch: int = 64) -> np.
 
 
 def _temperature(scores: np.ndarray, y: np.ndarray) -> float:
-    """The temperature under which the scores of held-out sentences best explain the labels y of their texts, of which an
-    unknown share (fitted with it) names another language, as often as labels that the scores don't agree with. A weak
-    normal prior of its logarithm keeps it finite where no sentence is doubtful."""
-    if not len(y):
-        return 1.0
+    """The temperature under which the scores of held-out sentences best explain the labels y of their texts. A label may
+    name another language than its sentence's, as often as it does for sentences of that language (fitted with the
+    temperature), so wrong labels are no reason to doubt a sentence that is told clearly. A weak normal prior of its
+    logarithm keeps it finite where no sentence is doubtful."""
     best, found = np.inf, 1.0
-    other = np.bincount(y[scores.argmax(axis=1) != y], minlength=len(LANGUAGES)) + 1.0
-    other /= other.sum()
-    for t in np.geomspace(0.05, 5, 40):
-        own = softmax(scores / t)[np.arange(len(y)), y]
-        for wrong in NOISE:
-            loss = -np.log((1 - wrong) * own + wrong * other[y] + 1e-12).sum() + np.log(t) ** 2 / 2
-            if loss < best:
-                best, found = loss, float(t)
+    count = len(LANGUAGES)
+    for t in np.geomspace(0.05, 5, 40) if len(y) else []:
+        own = softmax(scores / t)
+        share = own
+        for _ in range(NOISE_ROUNDS):
+            seen = np.stack([np.bincount(y, share[:, z], count) for z in range(count)])
+            named = (seen + 1 / count) / (seen.sum(axis=1, keepdims=True) + 1)  # language x label that sentences of it have
+            joint = own * named[:, y].T
+            share = joint / np.maximum(joint.sum(axis=1, keepdims=True), 1e-300)
+        loss = -np.log(joint.sum(axis=1) + 1e-12).sum() + np.log(t) ** 2 / 2
+        if loss < best:
+            best, found = loss, float(t)
     return found
 
 
@@ -166,13 +169,16 @@ def _some(rows: np.ndarray, y: np.ndarray) -> np.ndarray:
 def fit(texts: DataFrame, labels: DataFrame) -> Model:
     """A model from (id, text) and (id, label); labels may be missing, wrong or double, in any style.
 
-    All texts count for the document frequencies. The labelled sample is at most SAMPLE_TEXTS rows, with the least hashes
-    of their id: of each language an equal share at most.
+    All texts count for the document frequencies. The labelled sample is at most SAMPLE_TEXTS different texts, those with
+    the least hashes: of each language an equal share at most. A text that many ids repeat counts once, else its copies would
+    judge each other's labels and leave less of the sample to other texts.
     """
     frequencies = document_frequencies(texts)
     coded = labels.select("id", language_code(F.col("label")).alias("code")).where("code is not null and id is not null").distinct()
-    share = Window.partitionBy("code").orderBy(F.xxhash64("id"), "id", "text")
-    rows = coded.join(texts, "id").withColumn("n", F.row_number().over(share)).where(F.col("n") <= SAMPLE_TEXTS // len(LANGUAGES)).select("code", "n", "text").toPandas()
+    keyed = texts.withColumn("key", F.xxhash64("text"))
+    share = Window.partitionBy("code").orderBy("key")
+    drawn = coded.join(keyed.select("id", "key"), "id").select("code", "key").distinct().withColumn("n", F.row_number().over(share)).where(F.col("n") <= SAMPLE_TEXTS // len(LANGUAGES))
+    rows = keyed.join(F.broadcast(drawn), "key").groupBy("code", "n").agg(F.min("text").alias("text")).toPandas()  # at most SAMPLE_TEXTS rows
     rows = rows.sort_values(["code", "n"], ignore_index=True)
     documents = int(texts.count())
     order = np.random.default_rng(3).permutation(len(rows))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from papyrine.llm import abuse, language, subjects
-from papyrine.llm.features import Ftrl, Sparse, char_ngrams, plain, sentences, word_ngrams
+from papyrine.llm.features import Ftrl, Sparse, char_ngrams, plain, sentences, softmax, word_ngrams
 
 SAMPLES = {
     "en": ["The results of this study show that the values have changed.", "We compare the limits of the model with data from the area.", "Little has been written about what happens over time."],
@@ -77,6 +77,25 @@ def test_languages_of_the_small_tables(spark):
     assert chances.max(axis=1).min() >= language.CONFIDENCE
 
 
+def test_temperature_with_labels_wrong_mostly_for_one_language():
+    rnd = np.random.default_rng(1)
+    true = np.where(rnd.random(1000) < 0.75, 0, rnd.integers(0, 8, 1000))
+    named = np.where(true == 0, rnd.integers(0, 8, 1000), true)
+    scores = rnd.normal(0, 0.5, (1000, 8))
+    scores[np.arange(1000), true] += 6
+    chances = softmax(scores / language._temperature(scores, named))
+    assert chances.max(axis=1).min() >= language.CONFIDENCE  # clear sentences stay clear whatever their labels say
+    assert language._temperature(scores[:0], named[:0]) == 1
+
+
+def test_copies_of_texts_leave_the_model_as_it_is(spark):
+    texts, labels = language.abstracts(spark, "/root/testdata/sf0.01"), language.article_labels(spark, "/root/testdata/sf0.01")
+    copied = lambda df: df.select("*", F.explode(F.array(*map(F.lit, range(5)))).alias("copy")).withColumn("id", F.concat_ws("-", "id", "copy")).drop("copy")
+    models = [language.fit(texts, labels), language.fit(copied(texts), copied(labels))]
+    chances = [m.probabilities([language.letters(s) for s in FRENCH_AND_DUTCH]) for m in models]
+    assert np.abs(chances[0] - chances[1]).max() < 0.03
+
+
 def test_passages_of_several_abstracts(spark, monkeypatch):
     sure = lambda k, n, code: ("a", k, n, 9, code, 0.9)
     rows = [sure(1, 1, "en"), sure(1, 2, "fr"), ("a", 1, 3, 1, "de", 0.3), sure(2, 1, "fr"), sure(2, 2, "fr"), ("a", 3, 1, 2, "it", 0.4), sure(3, 2, "nl")]
