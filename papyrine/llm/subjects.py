@@ -30,6 +30,8 @@ PATH_EVIDENCE = 1.0
 PRIOR_TEXTS = 100
 #: More evidence than one sentence gives, with the little that all others add.
 ONE_SENTENCE = 1.1
+#: As many areas a text deals with at most, by the definition of the problem.
+MOST_AREAS = 2
 EPOCHS, BATCH = 4, 256
 _WORD = re.compile(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*")
 
@@ -178,7 +180,8 @@ def path_area(path: str | None, names: dict[str, str], number: dict[str, int]) -
 
 
 def classify(texts: DataFrame, model: Model, names: dict[str, str]) -> DataFrame:
-    """(id, code, evidence, first) of the one or two areas of each text (id, path, text). Blank and null texts have none."""
+    """(id, code, evidence, first) of the one or two areas of each text (id, path, text): of the areas that reach their
+    thresholds those with most evidence. Blank and null texts have none."""
     # 2 ** BITS numbers for each area; plain arrays, which executors read without this package
     shared = texts.sparkSession.sparkContext.broadcast((model.areas, model.coefficients, model.bias, model.first, model.further, names))
     kind = dict(texts.dtypes)["id"]
@@ -193,13 +196,17 @@ def classify(texts: DataFrame, model: Model, names: dict[str, str]) -> DataFrame
                 part = batch.iloc[at : at + 500]
                 paths = [path_area(p, names, number) for p in part["path"]]
                 value = model.evidence(part["text"].tolist(), paths)
-                order = np.argsort(-value, axis=1, kind="stable")[:, :2]
+                top = np.argsort(-value, axis=1, kind="stable")[:, :1]
+                least = np.tile(model.further, (len(part), 1))
+                np.put_along_axis(least, top, model.first[top], 1)
+                # every area is held against its own threshold before the strongest are taken
+                value = np.where(value >= least, value, 0)
+                order = np.argsort(-value, axis=1, kind="stable")[:, :MOST_AREAS]
                 best = np.take_along_axis(value, order, 1)
                 ids = part["id"].to_numpy()
                 for place in range(order.shape[1]):
-                    least = (model.first if place == 0 else model.further)[order[:, place]]
-                    keep = (best[:, place] > 0) & (best[:, place] >= least)
-                    yield pd.DataFrame({"id": ids[keep], "code": codes[order[keep, place]], "evidence": best[keep, place], "first": place == 0})
+                    keep = best[:, place] > 0
+                    yield pd.DataFrame({"id": ids[keep], "code": codes[order[keep, place]], "evidence": best[keep, place], "first": order[keep, place] == top[keep, 0]})
 
     return texts.where("trim(text) <> ''").select("id", "path", "text").mapInPandas(run, f"id {kind}, code string, evidence double, first boolean")
 

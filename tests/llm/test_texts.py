@@ -153,3 +153,16 @@ def test_subjects(spark):
     assert got == {"one": {"A1"}, "two": {"A1", "B2"}}
     assert subjects.fit(df.where("false"), spark.createDataFrame([("t1", "A1")], "id string, code string"), areas)[0].further.min() > 0
     assert model.first.shape == model.further.shape == (3,) and len(set(model.further.round(6))) > 1  # a threshold for each area
+
+
+def test_every_area_is_held_against_its_own_threshold(spark):
+    says = ["reef tide.", "court clause.", "spin quantum."]
+    model = subjects.Model(["A1", "B2", "C3"], np.zeros((1 << subjects.BITS, 3), np.float32), np.full(3, -20.0), np.zeros(3), np.array([1.5, 3.5, 1.5]))
+    for k, sentence in enumerate(says):
+        model.coefficients[word_ngrams(subjects.sentence_words(sentence), subjects.LONGEST, subjects.BITS).feature, k] = 40
+    text = lambda *times: " ".join(" ".join([s] * n) for s, n in zip(says, times, strict=True))
+    df = spark.createDataFrame([("third", "x", text(5, 3, 2)), ("second", "x", text(5, 4, 2)), ("one", "x", text(5, 3, 1))], "id string, path string, text string")
+    got = sorted((r.id, r.code, r.first) for r in subjects.classify(df, model, {}).collect())
+    assert got == [("one", "A1", True), ("second", "A1", True), ("second", "B2", False), ("third", "A1", True), ("third", "C3", False)]
+    none = subjects.Model([], np.zeros((1 << subjects.BITS, 0), np.float32), np.zeros(0), np.zeros(0), np.zeros(0))
+    assert not subjects.classify(df, none, {}).count()
