@@ -281,13 +281,14 @@ def _letters(part: str) -> set[str]:
 
 def weights(forms: list[str], frequencies: np.ndarray | None, documents: int) -> Sparse:
     """Each form's different features, in order of their numbers, with weights whose squares sum to one (without
-    frequencies: with equal weights); features of no other form are left out. A feature is an n-gram of a part together with the first letter of another part."""
+    frequencies: with equal weights); features of no other form are left out. A feature is an n-gram of a part together with the
+    first letter of another part. Initials have none, nor have particles of two letters, which are no surnames (see _Sides)."""
     texts, letter, form_of = [], [], []
     for i, f in enumerate(forms):
         parts = f.split(" ")
         firsts = [_letters(p) for p in parts]
         for k, part in enumerate(parts):
-            if len(part) > 2:
+            if len(part) > 2 or (len(part) == 2 and part not in PARTICLES):
                 for c in set().union(*(x for j, x in enumerate(firsts) if j != k)):
                     texts.append(part.replace("-", " "))
                     letter.append(ord(c))

@@ -56,6 +56,14 @@ def test_join_finds_every_pair_above_the_cosine():
     assert sorted((a, b) for own in halves for a, b, *_ in own) == sorted(want)  # each pair from one shard
 
 
+def test_short_surnames_are_joined(spark):
+    spelled = ["Wei Li", "Li W.", "Li, Wei", "Mei Wu", "Wu M.", "Bo Ng", "Ng B.", "Xu Li", "Anna de Zorkmark", "Zorkmark A. de"]
+    fields = [("Wei", "Li"), ("Mei", "Wu"), ("Bo", "Ng"), ("Xu", "Li"), ("Anna", "de Zorkmark")]
+    _, pairs, _ = link(spark.createDataFrame([(x,) for x in spelled], "name string"), spark.createDataFrame(fields, "given string, family string"))
+    assert {(r.a, r.b) for r in pairs.collect()} == {("w li", "wei li"), ("m wu", "mei wu"), ("b ng", "bo ng"), ("a de zorkmark", "anna de zorkmark")}
+    assert not len(weights(["de a", "li a"], None, 1).take(np.array([0])).feature) and len(weights(["li a"], None, 1).feature) == 1
+
+
 def test_clusters():
     pairs = [("a z", "anna z", 0.85), ("a z", "astrid z", 0.8), ("astrid z", "astrd z", 0.9)]
     assert cluster(pairs) == [True, False, True]  # an abbreviated form is clustered like all others
